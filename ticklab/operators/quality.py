@@ -90,11 +90,14 @@ def recent_days(df: DataFrame, days: int, column: str = "event_time", now: Colum
 
 def jump_filter(df: DataFrame, max_move: float = 0.5, price: str = "bid_price", window=None) -> DataFrame:
     """keep rows whose 1-tick relative move is below ``max_move``; each symbol's first row drops."""
-    from ticklab.operators.layout import series_window
+    from ticklab.operators.layout import run_series
 
-    w = window or series_window()
-    move = F.abs(F.col(price) / F.lag(price, 1).over(w) - F.lit(1.0))
-    return df.withColumn("_move", move).where(F.col("_move") < max_move).drop("_move")
+    def compute(frame, w):
+        return frame.withColumn("_move", F.abs(F.col(price) / F.lag(price, 1).over(window or w) - F.lit(1.0)))
+
+    had_rn = "rn" in df.columns
+    out = run_series(df, compute, before=1, after=0).where(F.col("_move") < max_move).drop("_move")
+    return out if had_rn else out.drop("rn")
 
 
 def liquidity_filter(df: DataFrame, min_tickets: float = 5) -> DataFrame:
