@@ -46,7 +46,72 @@ def t3_live_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
                      det="det_prob", per="per_prob", model_id="rule_two")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder under the cluster's shared checkpoint location (never machine-local)."""
+    from ticklab.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def train_job(
+    spark: SparkSession,
+    ticks: DataFrame,
+    root: str,
+    recent: int | None = None,
+    kind: str = "two_score",
+    params=None,
+):
+    """M6: recent window -> F1 -> F4 -> F3 -> features -> labels -> 60/20/20 split -> fit ->
+    evaluate (E7 + E6) -> publish to the registry. Returns (model, metrics DataFrame)."""
+    from ticklab.ml import models as ml
+    from ticklab.operators.evaluate import log_loss, metrics
+    from ticklab.operators.ordering import global_positions, positional_split
+
+    params = params or ml.GBTParams()
+    t = quality.valid_quote(ticks)
+    if recent:
+        t = quality.recent_days(t, recent)
+    t = quality.zero_density_filter(t)
+    lab, _ = labelled_ticks(t)
+    cc = quality.complete_cases(lab).drop("rn")
+    split = positional_split(global_positions(cc)).checkpoint(eager=True)
+    train = split.where(F.col("split") == "train")
+    model = ml.train_two_score(train, params) if kind == "two_score" else ml.train_one_score(train, params)
+    scored = ml.score(model, split)
+    preds = ml.predictions(scored, model).checkpoint(eager=True)
+    table = metrics(preds, ("task", "split")).join(log_loss(preds, ("task", "split")), ["task", "split"])
+    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    flat = {}
+    for r in table.collect():
+        for m in ("accuracy", "precision", "recall", "f1", "auc", "log_loss"):
+            flat[f"{r['task']}_{r['split']}_{m}"] = r[m]
+    ml.save(model, spark, root, counts, flat)
+    return model, table
+
+
+def m6_retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered form of M6 (small forest so the check stays quick); returns the metric table."""
+    from ticklab.ml.models import GBTParams
+
+    root = shared_folder(spark, "ticklab-registry")
+    _, table = train_job(spark, load_ticks(spark, sf_dir), root, recent=None, params=GBTParams(max_iter=5))
+    return table
+
+
+def m4_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + M4 + M5 round trip: train a one-score model, publish, load it back, score all rows."""
+    from ticklab.ml import models as ml
+
+    root = shared_folder(spark, "ticklab-registry")
+    model, _ = train_job(spark, load_ticks(spark, sf_dir), root, kind="one_score", params=ml.GBTParams(max_iter=5))
+    loaded = ml.load(spark, root, model_id=model.model_id)
+    lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
+    return ml.score(loaded, lab).select("symbol", "tick_id", "det_prob", "per_prob", "det_pred", "per_pred", "model_id")
+
+
 EXTRA_QUERIES = {
+    "m6_retrain_job": m6_retrain_job,
+    "m4_model_scores": m4_model_scores,
     "flagship_detections_per_symbol": detections_per_symbol,
     "t2_trade_log": t2_trade_log,
     "t3_live_trades": t3_live_trades,
