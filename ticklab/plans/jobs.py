@@ -109,7 +109,39 @@ def m4_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.score(loaded, lab).select("symbol", "tick_id", "det_prob", "per_prob", "det_pred", "per_pred", "model_id")
 
 
+def s6_sql_dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tick view written as an INSERT dump (quotes, commas and NULLs included), then
+    parsed back by the distributed dump reader."""
+    import uuid
+
+    from ticklab.sources.dump import read_sql_dump, write_sql_dump
+
+    path = shared_folder(spark, f"dump-{uuid.uuid4().hex[:8]}")
+    t = load_ticks(spark, sf_dir)
+    tid = F.col("tick_id")
+    t = t.withColumn("changed_by", F.when(tid % 7 == 0, F.lit("it's, (a) feed")).when(tid % 11 == 0, F.lit("NULL"))
+                     .otherwise(F.col("changed_by")))
+    write_sql_dump(t, path)
+    return read_sql_dump(spark, path)
+
+
+def s2_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned ticks written partitioned by day, read back with partition pruning on the
+    last three days."""
+    import uuid
+
+    from ticklab.sources.ticks import write_ticks
+
+    path = shared_folder(spark, f"ticks-{uuid.uuid4().hex[:8]}")
+    clean = quality.zero_density_filter(quality.valid_quote(load_ticks(spark, sf_dir), require_ask=True))
+    write_ticks(clean, path)
+    back = spark.read.parquet(path)
+    return back.where(F.col("event_date") >= F.date_sub(F.lit("2024-01-31").cast("date"), 3))
+
+
 EXTRA_QUERIES = {
+    "s6_sql_dump_roundtrip": s6_sql_dump_roundtrip,
+    "s2_write_roundtrip": s2_write_roundtrip,
     "m6_retrain_job": m6_retrain_job,
     "m4_model_scores": m4_model_scores,
     "flagship_detections_per_symbol": detections_per_symbol,
