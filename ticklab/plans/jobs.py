@@ -139,7 +139,92 @@ def s2_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.where(F.col("event_date") >= F.date_sub(F.lit("2024-01-31").cast("date"), 3))
 
 
+def replay_folder(spark: SparkSession, ticks: DataFrame, name: str, n_files: int = 3) -> str:
+    """Write ticks as ``n_files`` arrival files in time order (cut at time quantiles), the way a
+    feed lands in a folder; returns the folder the stream reads."""
+    import uuid
+
+    root = shared_folder(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+    secs = F.unix_micros(F.col("event_time").cast("timestamp"))
+    cuts = ticks.agg(F.percentile_approx(secs, [i / n_files for i in range(1, n_files)], 10000).alias("c")).first()["c"]
+    bounds = [None, *cuts, None]
+    for i in range(n_files):
+        cond = F.lit(True)
+        if bounds[i] is not None:
+            cond = cond & (secs >= F.lit(bounds[i]))
+        if bounds[i + 1] is not None:
+            cond = cond & (secs < F.lit(bounds[i + 1]))
+        # one arrival per batch id; written in order so the file source sees them in order
+        ticks.where(cond).write.mode("overwrite").parquet(f"{root}/in/arrival={i:04d}")
+    return f"{root}/in"
+
+
+def _run_to_parquet(stream: DataFrame, root: str, name: str) -> DataFrame:
+    spark = stream.sparkSession
+    q = (stream.writeStream.format("parquet").option("path", f"{root}/{name}")
+         .option("checkpointLocation", f"{root}/_ck_{name}").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def r2_stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + R6 + R2: tick files -> watermark/dedupe -> per-symbol buffered features."""
+    from ticklab.streaming.live import dedupe_late, stream_features, tick_stream
+
+    src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
+    root = src.rsplit("/in", 1)[0]
+    return _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
+
+
+def r4_stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 -> rule scores -> R4 live position lifecycle, as two chained streaming queries."""
+    from ticklab.operators.evaluate import entry_signal
+    from ticklab.streaming.live import dedupe_late, position_stream, stream_features, tick_stream
+
+    src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
+    root = src.rsplit("/in", 1)[0]
+    _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
+    feats = spark.readStream.schema(spark.read.parquet(f"{root}/features").schema).parquet(f"{root}/features")
+    scored = rule_scores(feats).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
+    scored = scored.withColumn("signal", entry_signal())
+    return _run_to_parquet(position_stream(scored), root, "trades")
+
+
+def r5_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running trade statistics over the R4 trade stream (one row per model)."""
+    from ticklab.streaming.live import running_stats
+
+    trades = r4_stream_positions(spark, sf_dir)
+    folder = trades.inputFiles()[0].rsplit("/", 1)[0]
+    stream = spark.readStream.schema(trades.schema).parquet(folder)
+    name = f"r5_{abs(hash(folder)) % 10**8}"
+    q = (running_stats(stream).writeStream.format("memory").queryName(name).outputMode("complete")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(name)
+
+
+def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 + M7: micro-batches scored by the newest registered model, written per batch id."""
+    from ticklab.ml.models import GBTParams
+    from ticklab.streaming.live import dedupe_late, score_batches, stream_features, tick_stream
+
+    registry = shared_folder(spark, "ticklab-registry")
+    train_job(spark, load_ticks(spark, sf_dir), registry, params=GBTParams(max_iter=3))
+    src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
+    root = src.rsplit("/in", 1)[0]
+    feats = stream_features(dedupe_late(tick_stream(spark, src)))
+    q = score_batches(feats, registry, f"{root}/scored", f"{root}/_ck_scored")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/scored")
+
+
 EXTRA_QUERIES = {
+    "r2_stream_features": r2_stream_features,
+    "r3_score_stream": r3_score_stream,
+    "r4_stream_positions": r4_stream_positions,
+    "r5_stream_stats": r5_stream_stats,
     "s6_sql_dump_roundtrip": s6_sql_dump_roundtrip,
     "s2_write_roundtrip": s2_write_roundtrip,
     "m6_retrain_job": m6_retrain_job,
