@@ -1,0 +1,123 @@
+import pandas as pd
+from pyspark.sql import functions as F
+
+from conftest import SF01, make_ticks
+from ticklab.operators.evaluate import entry_signal
+from ticklab.operators.outcomes import BACKTEST, LIVE, ExitRules, signal_exits, trade_log
+from ticklab.operators.trades import summary
+from ticklab.plans.jobs import scored_ticks
+
+
+def _frame(spark, paths, det=0.9, per=0.9, lost_at=None):
+    rows, tid = [], 0
+    for sym, prices in paths.items():
+        for i, p in enumerate(prices):
+            d = det if i == 0 else 0.6
+            pr = per if i == 0 else 0.6
+            if lost_at and sym in lost_at and i >= lost_at[sym]:
+                d, pr = 0.1, 0.1
+            rows.append({"symbol": sym, "tick_id": tid, "event_time": i, "bid_price": float(p), "ask_price": float(p),
+                         "det_prob": d, "per_prob": pr})
+            tid += 1
+    from ticklab.schema import TICKS
+    base = make_ticks(spark, [{k: v for k, v in r.items() if k in TICKS.fieldNames()} for r in rows])
+    probs = spark.createDataFrame([(r["tick_id"], r["det_prob"], r["per_prob"]) for r in rows], "tick_id long, det_prob double, per_prob double")
+    return base.join(probs, "tick_id").withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / 2)
+
+
+PATHS = {
+    "PT": [100, 100.5, 101.2, 101.3],
+    "CAP": [100, 160, 100],
+    "SL": [100, 99.4, 99],
+    "TR": [100, 100.5, 100.2, 100.1],
+    "MH": [100] * 35,
+    "LOST": [100, 99.7, 99.7],
+    "END": [100, 100.1],
+}
+EXPECT = {"PT": ("PROFIT_TARGET", 2), "CAP": ("PROFIT_TARGET_CAPPED", 1), "SL": ("STOP_LOSS", 1),
+          "TR": ("TRAILING_STOP", 2), "MH": ("MAX_HOLD", 30), "LOST": ("SIGNAL_LOST", 1), "END": ("END_OF_DATA", 1)}
+
+
+def test_t1_each_exit_reason(spark):
+    df = _frame(spark, PATHS, lost_at={"LOST": 1})
+    sig = (F.col("rn") == 0)
+    ex = signal_exits(df, sig, ExitRules(), price="mid_price", det="det_prob", per="per_prob", layout="symbol")
+    got = {r.symbol: (r.exit_reason, r.ticks_held) for r in ex.collect()}
+    assert got == EXPECT
+
+
+def test_q2_trailing_shadows_hold(spark):
+    prices = [100, 100.4] + [100.35] * 40
+    df = _frame(spark, {"Q2": prices})
+    sig = F.col("rn") == 0
+    t1 = signal_exits(df, sig, ExitRules(), price="mid_price", det="det_prob", per="per_prob", layout="symbol").first()
+    t2 = trade_log(df, sig, BACKTEST, price="mid_price", det="det_prob", per="per_prob", layout="symbol").first()
+    assert t1.exit_reason == "MAX_HOLD" and t1.ticks_held == 30
+    assert t2.exit_reason == "END_OF_DATA" and t2.exit_pos == len(prices) - 1
+
+
+def brute_backtest(pdf, pt=0.01, sl=0.005, hold=30, det_thr=0.7, per_thr=0.5):
+    """Sequential one-position walk per symbol, the reference's exit order (test oracle)."""
+    out = []
+    for sym, g in pdf.groupby("symbol"):
+        g = g.sort_values("rn")
+        pos = None
+        last = None
+        for r in g.itertuples():
+            last = r
+            if pos is None and r.det_prob >= det_thr and r.per_prob >= per_thr:
+                pos = {"entry": r.rn, "px": r.mid_price, "peak": None}
+            if pos is None:
+                continue
+            ret = (r.mid_price - pos["px"]) / pos["px"]
+            held = r.rn - pos["entry"]
+            pos["peak"] = ret if pos["peak"] is None else max(pos["peak"], ret)
+            reason = None
+            if ret >= pt:
+                reason = "PROFIT_TARGET_CAPPED" if ret > 0.5 else "PROFIT_TARGET"
+            elif ret <= -sl or ret <= -0.1:
+                reason = "STOP_LOSS"
+            elif pos["peak"] > 0.003:
+                if ret < pos["peak"] * 0.5:
+                    reason = "TRAILING_STOP"
+            elif held >= hold:
+                reason = "MAX_HOLD"
+            elif r.det_prob < det_thr * 0.5 and r.per_prob < per_thr * 0.5 and ret < -0.002:
+                reason = "SIGNAL_LOST"
+            if reason:
+                out.append((sym, pos["entry"], r.rn, reason))
+                pos = None
+        if pos is not None:
+            out.append((sym, pos["entry"], last.rn, "END_OF_DATA"))
+    return sorted(out)
+
+
+def test_t2_equals_sequential_walk(spark):
+    s = scored_ticks(spark, SF01)
+    tl = trade_log(s, entry_signal(), BACKTEST, price="mid_price", det="det_prob", per="per_prob")
+    got = sorted((r.symbol, r.entry_pos, r.exit_pos, r.exit_reason) for r in tl.collect())
+    pdf = s.select("symbol", "rn", "mid_price", "det_prob", "per_prob").toPandas()
+    exp = brute_backtest(pdf)
+    assert len(got) == len(exp) > 50
+    assert got == exp
+    # trades of a symbol never overlap
+    df = pd.DataFrame(got, columns=["symbol", "entry", "exit", "reason"]).sort_values(["symbol", "entry"])
+    for _, g in df.groupby("symbol"):
+        assert (g["entry"].to_numpy()[1:] > g["exit"].to_numpy()[:-1]).all()
+
+
+def test_t3_live_allows_reentry_on_exit_tick(spark):
+    prices = [100, 101.5, 101.5, 101.6]
+    df = _frame(spark, {"L": prices}, det=0.9, per=0.9)
+    df = df.withColumn("det_prob", F.when(F.col("tick_id") == 1, 0.9).otherwise(F.col("det_prob")))
+    df = df.withColumn("per_prob", F.when(F.col("tick_id") == 1, 0.9).otherwise(F.col("per_prob")))
+    tl = trade_log(df, entry_signal(), LIVE, price="mid_price", det="det_prob", per="per_prob", layout="symbol")
+    got = sorted((r.entry_pos, r.exit_pos, r.exit_reason) for r in tl.collect())
+    assert got[0] == (0, 1, "PROFIT")
+    assert got[1][0] == 1  # re-entered on the exit tick
+
+
+def test_summary_profit_factor_null_without_losses(spark):
+    t = spark.createDataFrame([("m", 1.0, "PROFIT_TARGET"), ("m", 2.0, "PROFIT_TARGET")], "model_id string, return_pct double, exit_reason string")
+    r = summary(t).first()
+    assert r.n_trades == 2 and r.wins == 2 and r.profit_factor is None and r.avg_loss == 0.0
