@@ -34,6 +34,9 @@ def test_exact_quantiles_match_numpy_with_narrowing(spark):
     for p in ps:
         assert got[("x", p)] == np.percentile(vals, p * 100, method="linear") or abs(
             got[("x", p)] - np.percentile(vals, p * 100, method="linear")) < 1e-12
+    merged = exact_quantiles(df, {"x": ps})
+    for p in ps:
+        assert abs(merged[("x", p)] - got[("x", p)]) < 1e-12
     hist = exact_quantiles(df, {"x": ps}, method="histogram")
     for p in ps:
         assert abs(hist[("x", p)] - got[("x", p)]) < 1e-12

@@ -59,6 +59,7 @@ def exact_quantiles(
         row = df.agg(*aggs).first()
         return {k: row[f"q{i}"] for i, k in enumerate(keys)}
 
+    force_narrow = method == "narrow"
     delta = 2.0 / accuracy
     pass1 = []
     for c in wanted:
@@ -78,36 +79,79 @@ def exact_quantiles(
         state[(c, p)] = {"k": p * (n - 1), "lo": lo, "hi": hi, "below": 0}
 
     live = [k for k in keys if state[k] is not None]
-    pass2 = []
-    for i, key in enumerate(live):
-        c, _ = key
-        s = state[key]
-        pass2.append(F.count_if(clean(c) & (F.col(c) < s["lo"])).alias(f"below{i}"))
-        pass2.append(F.count_if(F.col(c).between(s["lo"], s["hi"])).alias(f"cand{i}"))
-    r2 = df.agg(*pass2).first() if pass2 else None
-
     out: dict[tuple[str, float], float | None] = {k: None for k in keys if state[k] is None}
+    if not live:
+        return out
+    # Pass 2: one bounded aggregate. Every value below its bracket becomes a NULL marker,
+    # every value inside keeps its value; groupBy(value) collapses ties and the markers
+    # (partial aggregation), so the driver receives distinct bracket values with counts.
+    entries = []
     for i, key in enumerate(live):
         c, _ = key
         s = state[key]
-        below, cand = r2[f"below{i}"], r2[f"cand{i}"]
-        lo, hi = s["lo"], s["hi"]
-        inside = F.col(c).between(lo, hi)
-        # Narrow while the bracket still holds too many values (only at very large n).
-        while cand > max_candidates:
-            sub = df.where(inside)
-            r_lo = s["k"] - below
-            m = cand
-            qs = [max(0.0, math.floor(r_lo) / max(m - 1, 1) - delta), min(1.0, math.ceil(r_lo) / max(m - 1, 1) + delta)]
-            lo, hi = sub.agg(F.percentile_approx(F.col(c), qs, accuracy)).first()[0]
-            inside = F.col(c).between(lo, hi)
-            r = sub.agg(F.count_if(F.col(c) < lo).alias("b"), F.count_if(inside).alias("n")).first()
-            below, cand = below + r["b"], r["n"]
-        vals = sorted(row[0] for row in df.where(inside).select(c).collect())
-        out[key] = _interpolate(vals, below, s["k"])
+        v = F.col(c)
+        entries.append(
+            F.when(clean(c) & (v < F.lit(s["lo"])), F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
+            .when(v.between(s["lo"], s["hi"]), F.struct(F.lit(i).alias("i"), v.cast("double").alias("v")))
+        )
+    est = max(r1[f"n_{c}"] for c, _ in live) * 4.0 / accuracy
+    if est <= max_candidates and not force_narrow:
+        exploded = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("e")).select("e.*")
+        rows = exploded.groupBy("i", "v").count().collect()
+        for i, key in enumerate(live):
+            mine = [(r["v"], r["count"]) for r in rows if r["i"] == i]
+            below = sum(n for v, n in mine if v is None)
+            cands = sorted((v, n) for v, n in mine if v is not None)
+            value = _from_counts(cands, below, state[key]["k"])
+            if value is None:  # bracket missed the rank (should not happen): exact fallback
+                value = exact_quantiles(df, {key[0]: [key[1]]}, method="histogram")[key]
+            out[key] = value
+        return out
+    for key in live:
+        out[key] = _narrow(df, key, state[key], accuracy, max_candidates, clean)
     return out
 
 
+def _from_counts(cands, below, k):
+    """Value at fractional rank k from (value, count) pairs sorted by value, ``below`` rows lower."""
+    lo_rank, hi_rank = math.floor(k), math.ceil(k)
+    if lo_rank < below:
+        return None
+    found = {}
+    pos = below
+    for v, n in cands:
+        for r in (lo_rank, hi_rank):
+            if r not in found and pos <= r < pos + n:
+                found[r] = v
+        pos += n
+    if lo_rank not in found or hi_rank not in found:
+        return None
+    a, b = found[lo_rank], found[hi_rank]
+    return a + (b - a) * (k - lo_rank)
+
+
+def _narrow(df, key, s, accuracy, max_candidates, clean):
+    """Large-n path: shrink the bracket with percentile_approx on the bracket rows until it
+    holds at most ``max_candidates`` values, then pick the exact ranks."""
+    c, _ = key
+    delta = 2.0 / accuracy
+    lo, hi = s["lo"], s["hi"]
+    r = df.agg(F.count_if(clean(c) & (F.col(c) < lo)).alias("b"), F.count_if(F.col(c).between(lo, hi)).alias("n")).first()
+    below, cand = r["b"], r["n"]
+    inside = F.col(c).between(lo, hi)
+    while cand > max_candidates:
+        sub = df.where(inside)
+        r_lo = s["k"] - below
+        m = cand
+        qs = [max(0.0, math.floor(r_lo) / max(m - 1, 1) - delta), min(1.0, math.ceil(r_lo) / max(m - 1, 1) + delta)]
+        lo, hi = sub.agg(F.percentile_approx(F.col(c), qs, accuracy)).first()[0]
+        inside = F.col(c).between(lo, hi)
+        r = sub.agg(F.count_if(F.col(c) < lo).alias("b"), F.count_if(inside).alias("n")).first()
+        below, cand = below + r["b"], r["n"]
+    vals = sorted(row[0] for row in df.where(inside).select(c).collect())
+    return _interpolate(vals, below, s["k"])
+
+
 @dataclass
 class Thresholds:
     momentum: float | None
@@ -190,14 +234,18 @@ def labelled_ticks(
 ) -> tuple[DataFrame, Thresholds]:
     """Features with look-ahead, materialized once (checkpoint to the shared folder) because the
     threshold passes and the labelling all read them; then L1-L4."""
+    from ticklab.operators.layout import resolve_layout
+
     feats = add_features(
         ticks,
         nulls="keep",
-        layout=layout,
+        layout=resolve_layout(ticks, layout),
         lookahead={"price_momentum_5": PERSIST_AHEAD, "volume_zscore": PERSIST_AHEAD, "tick_id": PERSIST_AHEAD},
     )
     if materialize:
-        feats = feats.checkpoint(eager=True)
+        from ticklab.session import materialize as write_once
+
+        feats = write_once(feats, "features")
     return label_features(feats, fit_filter=fit_filter, method=method)
 
 

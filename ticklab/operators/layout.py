@@ -30,7 +30,18 @@ SERIES_ORDER = ("event_time", "tick_id")
 DEFAULT_CHUNK_ROWS = 1 << 20
 
 # Layout used when a caller does not choose one; bench/tests may override.
-DEFAULT_LAYOUT = "chunked"
+# "auto": per-symbol windows when every symbol fits one task (<= chunk_rows rows), else chunked.
+DEFAULT_LAYOUT = "auto"
+
+
+def resolve_layout(df: DataFrame, layout: str | None = None, keys=SERIES_KEYS, chunk_rows: int | None = None) -> str:
+    """Pick the layout; "auto" runs one partial aggregate (rows of the largest series)."""
+    layout = layout or DEFAULT_LAYOUT
+    if layout != "auto":
+        return layout
+    limit = chunk_rows or DEFAULT_CHUNK_ROWS
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return "symbol" if biggest <= limit else "chunked"
 
 
 def series_window(keys=SERIES_KEYS, order=SERIES_ORDER):
@@ -62,10 +73,9 @@ def with_positions(
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
     )
     if materialize:
-        from ticklab.session import ensure_checkpoint_dir
+        from ticklab.session import materialize as write_once
 
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
+        ranged = write_once(ranged, "positions")
     stats = ranged.groupBy(*keys, "_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first")
     )
@@ -116,8 +126,10 @@ def run_series(
     ``after`` rows ahead. The result carries ``pos_col`` (W7) and no helper columns.
 
     ``df`` may already carry ``pos_col`` (then it is reused as the order)."""
-    layout = layout or DEFAULT_LAYOUT
     chunk_rows = chunk_rows or DEFAULT_CHUNK_ROWS
+    layout = resolve_layout(df, layout, keys, chunk_rows) if pos_col not in df.columns else (layout or DEFAULT_LAYOUT)
+    if layout == "auto":
+        layout = "chunked"
     if layout == "symbol":
         w = Window.partitionBy(*keys).orderBy(*order)
         out = df if pos_col in df.columns else df.withColumn(pos_col, F.row_number().over(w) - 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklab.operators.layout import SERIES_KEYS, SERIES_ORDER, with_positions
+from ticklab.operators.layout import SERIES_KEYS, SERIES_ORDER, resolve_layout, with_positions
 
 
 def sort_series(df: DataFrame, keys=SERIES_KEYS, order=SERIES_ORDER) -> DataFrame:
@@ -27,7 +27,7 @@ def global_positions(
     Per-symbol positions (skew-safe, see layout) plus per-symbol offsets: the offsets table has
     one row per symbol, so the window over it is tiny. No single-partition window over rows."""
     if series_pos not in df.columns:
-        if (layout or "chunked") == "symbol":
+        if resolve_layout(df, layout, keys) == "symbol":
             w = Window.partitionBy(*keys).orderBy(*order)
             df = df.withColumn(series_pos, F.row_number().over(w) - 1)
         else:

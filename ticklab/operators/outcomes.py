@@ -19,12 +19,14 @@ tick whose rule fires is picked with ``min_by``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklab.operators.layout import SERIES_KEYS, SERIES_ORDER, with_positions
+from ticklab.operators.layout import SERIES_KEYS, SERIES_ORDER, resolve_layout, with_positions
+from ticklab.session import materialize
 
 
 @dataclass
@@ -59,7 +61,7 @@ LIVE = ExitRules(mode="live")
 def positioned(ticks: DataFrame, layout: str | None = None, keys=SERIES_KEYS, order=SERIES_ORDER) -> DataFrame:
     if "rn" in ticks.columns:
         return ticks
-    if (layout or "chunked") == "symbol":
+    if resolve_layout(ticks, layout, keys) == "symbol":
         return ticks.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
     return with_positions(ticks, keys, order, "rn")
 
@@ -199,7 +201,7 @@ def signal_exits(
         if rules.mode == "independent":
             break
         unresolved = exits.where(F.col("_x").isNull()).select("symbol", "s_rn")
-        unresolved = unresolved.checkpoint(eager=True)
+        unresolved = materialize(unresolved, "unresolved")
         if unresolved.isEmpty():
             break
         pending = sigs.join(unresolved, ["symbol", "s_rn"], "left_semi")
@@ -234,26 +236,34 @@ def peak_path(ticks: DataFrame, signal: str = "signal", horizon: int = 30, price
     return band.select("symbol", "s_rn", "rn", ret.alias("ret")).withColumn("peak", F.max("ret").over(w))
 
 
-def _chain(exits: DataFrame, counts: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Signals taken by the one-position-per-symbol walk, by pointer doubling over signal indices."""
+def _chain(exits: DataFrame, counts: DataFrame) -> DataFrame:
+    """Signals taken by the one-position-per-symbol walk, by pointer doubling over signal indices.
+
+    jump(i) = i + 1 + (signals inside trade i). Round k adds jump^(2^k) of every reached index,
+    so ceil(log2(longest chain)) rounds reach every taken signal; the round count comes from one
+    aggregate (signals of the largest symbol), each round is two joins and one written table."""
     idx = with_positions(exits.select("symbol", "s_rn"), ("symbol",), ("s_rn",), "idx")
     nxt = idx.join(counts, ["symbol", "s_rn"]).select(
         "symbol", "idx", (F.col("idx") + F.lit(1) + F.col("_inside")).alias("jump")
-    ).checkpoint(eager=True)
+    )
+    nxt = materialize(nxt, "jump")
+    longest = nxt.groupBy("symbol").count().agg(F.max("count")).first()[0] or 0
+    rounds = max(1, math.ceil(math.log2(longest + 1)))
+    existing = nxt.select("symbol", "idx")
     reached = nxt.where(F.col("idx") == 0).select("symbol", "idx")
     jump = nxt
-    for _ in range(max_rounds):
+    for r in range(rounds):
         step = reached.join(jump, ["symbol", "idx"]).select("symbol", F.col("jump").alias("idx"))
-        new = step.join(nxt.select("symbol", "idx"), ["symbol", "idx"], "left_semi").join(reached, ["symbol", "idx"], "left_anti")
-        new = new.checkpoint(eager=True)
-        if new.isEmpty():
-            break
-        reached = reached.unionByName(new).checkpoint(eager=True)
-        j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.symbol") == F.col("b.symbol")) & (F.col("a.jump") == F.col("b.idx")), "left")
-        jump = j2.select(
-            F.col("a.symbol").alias("symbol"), F.col("a.idx").alias("idx"),
-            F.coalesce(F.col("b.jump"), F.col("a.jump") + F.lit(1 << 40)).alias("jump"),
-        ).checkpoint(eager=True)
+        step = step.join(existing, ["symbol", "idx"], "left_semi")
+        reached = materialize(reached.unionByName(step).distinct(), "reached")
+        if r + 1 < rounds:
+            j2 = jump.alias("a").join(
+                jump.alias("b"), (F.col("a.symbol") == F.col("b.symbol")) & (F.col("a.jump") == F.col("b.idx")), "left"
+            )
+            jump = materialize(j2.select(
+                F.col("a.symbol").alias("symbol"), F.col("a.idx").alias("idx"),
+                F.coalesce(F.col("b.jump"), F.col("a.jump") + F.lit(1 << 40)).alias("jump"),
+            ), "jump")
     return idx.join(reached, ["symbol", "idx"], "left_semi").select("symbol", "s_rn")
 
 
@@ -272,7 +282,7 @@ def trade_log(
     if isinstance(signal, Column):
         ticks = ticks.withColumn("_signal", F.coalesce(signal, F.lit(False)))
         signal = "_signal"
-    exits = signal_exits(ticks, signal, rules, price, det, per, model_id, layout).checkpoint(eager=True)
+    exits = materialize(signal_exits(ticks, signal, rules, price, det, per, model_id, layout), "exits")
     counts = _count_inside(ticks, exits, signal, rules)
     taken = _chain(exits, counts)
     return exits.join(taken, ["symbol", "s_rn"], "left_semi").drop("s_rn")

@@ -12,6 +12,7 @@ from ticklab.operators.layout import with_positions
 from ticklab.operators.outcomes import BACKTEST, LIVE, trade_log
 from ticklab.operators.evaluate import entry_signal
 from ticklab.operators.scoring import rule_scores
+from ticklab.session import materialize
 from ticklab.sources.ticks import load_ticks
 
 
@@ -74,11 +75,11 @@ def train_job(
     t = quality.zero_density_filter(t)
     lab, _ = labelled_ticks(t)
     cc = quality.complete_cases(lab).drop("rn")
-    split = positional_split(global_positions(cc)).checkpoint(eager=True)
+    split = materialize(positional_split(global_positions(cc)), "split")
     train = split.where(F.col("split") == "train")
     model = ml.train_two_score(train, params) if kind == "two_score" else ml.train_one_score(train, params)
     scored = ml.score(model, split)
-    preds = ml.predictions(scored, model).checkpoint(eager=True)
+    preds = materialize(ml.predictions(scored, model), "predictions")
     table = metrics(preds, ("task", "split")).join(log_loss(preds, ("task", "split")), ["task", "split"])
     counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     flat = {}
