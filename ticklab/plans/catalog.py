@@ -14,7 +14,7 @@ from ticklab.operators import compare, evaluate, ordering, quality, trades
 from ticklab.operators.features import add_features, last_ticks, newest_per_symbol
 from ticklab.operators.labels import exact_quantiles, label_balance, labelled_ticks, fallback_rule
 from ticklab.operators.layout import run_series, with_positions
-from ticklab.operators.outcomes import ExitRules, peak_path, signal_exits
+from ticklab.operators.outcomes import ExitRules, peak_path, positioned, signal_exits
 from ticklab.operators.scoring import RULE_SCORES_SQL, rule_scores
 from ticklab.schema import FEATURES, PERSIST_AHEAD, PERSIST_FACTOR, REQUIRED_COLUMNS
 from ticklab.sources.incremental import current_snapshot, high_water_mark, read_since
@@ -48,7 +48,7 @@ def _scored(spark, d):
 
 def _model_trades(spark, d) -> DataFrame:
     scored = _scored(spark, d).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
-    scored = with_positions(scored)
+    scored = positioned(scored)
     two = signal_exits(
         scored, evaluate.entry_signal("det_prob", "per_prob", 0.7, 0.5), ExitRules(), price="mid_price",
         det="det_prob", per="per_prob", model_id="rule_two",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ticklab.operators import quality
 from ticklab.operators.labels import labelled_ticks
 from ticklab.operators.layout import with_positions
-from ticklab.operators.outcomes import BACKTEST, LIVE, trade_log
+from ticklab.operators.outcomes import BACKTEST, LIVE, positioned, trade_log
 from ticklab.operators.evaluate import entry_signal
 from ticklab.operators.scoring import rule_scores
 from ticklab.session import materialize
@@ -30,7 +30,7 @@ def scored_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
     scored = rule_scores(quality.complete_cases(lab)).drop("rn")
     scored = scored.withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
-    return with_positions(scored)
+    return positioned(scored)
 
 
 def t2_trade_log(spark: SparkSession, sf_dir: str) -> DataFrame:
