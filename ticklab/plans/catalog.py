@@ -145,6 +145,10 @@ def p12_mean_score(spark, d):
     return _scored(spark, d).select("tick_id", mean_of("det_prob", "per_prob").alias("combined_prob"))
 
 
+def o1_sort_series(spark, d):
+    return ordering.sort_series(_valid(spark, d)).select("symbol", "event_time", "tick_id")
+
+
 def f1_valid_quote(spark, d):
     return quality.valid_quote(_ticks(spark, d), require_ask=True).select("tick_id", "symbol")
 
@@ -594,6 +598,10 @@ ORACLE = {
     "p11_clip_return": _with(*FEATS) + """SELECT tick_id, CASE WHEN price_momentum_10 IS NULL THEN NULL
   ELSE greatest(-10e0, least(50e0, price_momentum_10 * 1000e0)) END AS clipped FROM feat""",
     "p12_mean_score": _with(*SCORES) + "SELECT tick_id, (det_prob + per_prob) / 2e0 AS combined_prob FROM scored",
+    "o1_sort_series": _with(*BASE) + "SELECT symbol, event_time, tick_id FROM valid ORDER BY symbol, event_time, tick_id",
+    "flagship_detections_per_symbol": _with(*LABS) + """SELECT symbol, count(*) AS n_ticks,
+  CAST(sum(label_detection) AS BIGINT) AS detections, CAST(sum(label_persistence) AS BIGINT) AS persistences
+  FROM lab GROUP BY symbol""",
     "f1_valid_quote": _with(*BASE) + "SELECT tick_id, symbol FROM ticks WHERE bid_price > 0 AND ask_price > 0",
     "f3_zero_density": _with(*BASE) + "SELECT tick_id, zero_count FROM (SELECT tick_id, " + " + ".join(
         f"(CASE WHEN coalesce(abs({c}) < 1e-10, true) THEN 1 ELSE 0 END)" for c in

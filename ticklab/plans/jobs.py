@@ -86,10 +86,22 @@ def train_job(
     for r in table.collect():
         for m in ("accuracy", "precision", "recall", "f1", "auc", "log_loss"):
             flat[f"{r['task']}_{r['split']}_{m}"] = r[m]
-    ml.save(model, spark, root, counts, flat)
+    model_id = ml.save(model, spark, root, counts, flat)
+    write_results(root, model_id, predictions=preds, metrics=table)
     return model, table
 
 
+def write_results(root: str, run_id: str, **tables: DataFrame) -> dict[str, str]:
+    """Persist result tables (predictions, trades, metrics, ...) as parquet, one folder per
+    table and run; the reference only printed them."""
+    paths = {}
+    for name, df in tables.items():
+        path = f"{root.rstrip('/')}/results/{name}/run_id={run_id}"
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths
+
+
 def m6_retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered form of M6 (small forest so the check stays quick); returns the metric table."""
     from ticklab.ml.models import GBTParams
