@@ -255,6 +255,8 @@ def _chain(exits: DataFrame, counts: DataFrame) -> DataFrame:
     for r in range(rounds):
         step = reached.join(jump, ["symbol", "idx"]).select("symbol", F.col("jump").alias("idx"))
         step = step.join(existing, ["symbol", "idx"], "left_semi")
+        # both tables are read twice per round (union + next step, self join): written each
+        # round, otherwise recomputation doubles per round
         reached = materialize(reached.unionByName(step).distinct(), "reached")
         if r + 1 < rounds:
             j2 = jump.alias("a").join(

@@ -16,6 +16,7 @@ from ticklab.operators.labels import exact_quantiles, label_balance, labelled_ti
 from ticklab.operators.layout import run_series, with_positions
 from ticklab.operators.outcomes import ExitRules, peak_path, positioned, signal_exits
 from ticklab.operators.scoring import RULE_SCORES_SQL, rule_scores
+from ticklab.session import materialize
 from ticklab.schema import FEATURES, PERSIST_AHEAD, PERSIST_FACTOR, REQUIRED_COLUMNS
 from ticklab.sources.incremental import current_snapshot, high_water_mark, read_since
 from ticklab.sources.ticks import TICK_VIEW_SQL, load_ticks
@@ -57,7 +58,8 @@ def _model_trades(spark, d) -> DataFrame:
         scored, evaluate.entry_signal("det_prob", None, 0.85), ExitRules(), price="mid_price",
         det="det_prob", per=None, model_id="rule_one",
     )
-    return two.unionByName(one).drop("s_rn")
+    # several statistics read the same trades: written once under the checkpoint folder
+    return materialize(two.unionByName(one).drop("s_rn"), "trades")
 
 
 def _eval_rows(spark, d) -> DataFrame:
