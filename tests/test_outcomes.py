@@ -121,3 +121,30 @@ def test_summary_profit_factor_null_without_losses(spark):
     t = spark.createDataFrame([("m", 1.0, "PROFIT_TARGET"), ("m", 2.0, "PROFIT_TARGET")], "model_id string, return_pct double, exit_reason string")
     r = summary(t).first()
     assert r.n_trades == 2 and r.wins == 2 and r.profit_factor is None and r.avg_loss == 0.0
+
+
+def test_t2_chunked_layout_equals_sequential_walk(spark, monkeypatch):
+    from ticklab.operators import layout
+
+    monkeypatch.setattr(layout, "DEFAULT_LAYOUT", "chunked")
+    monkeypatch.setattr(layout, "DEFAULT_CHUNK_ROWS", 64)
+    s = scored_ticks(spark, SF01)
+    tl = trade_log(s, entry_signal(), BACKTEST, price="mid_price", det="det_prob", per="per_prob")
+    got = sorted((r.symbol, r.entry_pos, r.exit_pos, r.exit_reason) for r in tl.collect())
+    pdf = s.select("symbol", "rn", "mid_price", "det_prob", "per_prob").toPandas()
+    assert got == brute_backtest(pdf)
+
+
+def test_running_max_chunked_equals_window(spark):
+    from ticklab.operators.layout import running_max
+
+    rows = [("A" if i % 3 else "B", i, float((i * 37) % 101)) for i in range(600)]
+    df = spark.createDataFrame(rows, "symbol string, rn long, v double")
+    from pyspark.sql import Window
+    df = df.withColumn("rn", F.row_number().over(Window.partitionBy("symbol").orderBy("rn")) - 1)
+    for inclusive in (True, False):
+        a = running_max(df, "v", "m", ("symbol",), "rn", inclusive, layout="symbol")
+        b = running_max(df, "v", "m", ("symbol",), "rn", inclusive, layout="chunked", chunk_rows=16)
+        j = a.alias("a").join(b.alias("b"), ["symbol", "rn"])
+        assert j.count() == 600
+        assert j.where("NOT (a.m <=> b.m)").count() == 0

@@ -236,22 +236,33 @@ def peak_path(ticks: DataFrame, signal: str = "signal", horizon: int = 30, price
     return band.select("symbol", "s_rn", "rn", ret.alias("ret")).withColumn("peak", F.max("ret").over(w))
 
 
-def _chain(exits: DataFrame, counts: DataFrame) -> DataFrame:
-    """Signals taken by the one-position-per-symbol walk, by pointer doubling over signal indices.
+def _chain(exits: DataFrame, counts: DataFrame, reenter_on_exit_tick: bool = False) -> DataFrame:
+    """Signals taken by the one-position-per-symbol walk.
 
-    jump(i) = i + 1 + (signals inside trade i). Round k adds jump^(2^k) of every reached index,
-    so ceil(log2(longest chain)) rounds reach every taken signal; the round count comes from one
-    aggregate (signals of the largest symbol), each round is two joins and one written table."""
-    idx = with_positions(exits.select("symbol", "s_rn"), ("symbol",), ("s_rn",), "idx")
+    jump(i) = i + 1 + (signals inside trade i). A signal no earlier signal's trade reaches
+    (running max of earlier exits below its tick) is taken whatever happened before: it starts
+    a block, and the walk of a block stays inside it (it lands on the next block start). Pointer
+    doubling from all block starts at once needs ceil(log2(longest block)) rounds -- each round
+    two joins and one written table -- instead of log2 of a whole symbol's chain."""
+    from ticklab.operators.layout import running_max
+
+    idx = with_positions(exits.select("symbol", "s_rn", "exit_pos"), ("symbol",), ("s_rn",), "idx")
+    idx = running_max(idx, "exit_pos", "_reach", ("symbol",), "idx", inclusive=False)
+    free = F.col("_reach").isNull() | (
+        (F.col("_reach") <= F.col("s_rn")) if reenter_on_exit_tick else (F.col("_reach") < F.col("s_rn"))
+    )
+    idx = idx.withColumn("_free", free)
+    idx = running_max(idx.withColumn("_start", F.when(F.col("_free"), F.col("idx"))), "_start", "_block",
+                      ("symbol",), "idx", inclusive=True)
     nxt = idx.join(counts, ["symbol", "s_rn"]).select(
-        "symbol", "idx", (F.col("idx") + F.lit(1) + F.col("_inside")).alias("jump")
+        "symbol", "idx", "s_rn", "_free", "_block", (F.col("idx") + F.lit(1) + F.col("_inside")).alias("jump")
     )
     nxt = materialize(nxt, "jump")
-    longest = nxt.groupBy("symbol").count().agg(F.max("count")).first()[0] or 0
+    longest = nxt.groupBy("symbol", "_block").count().agg(F.max("count")).first()[0] or 0
     rounds = max(1, math.ceil(math.log2(longest + 1)))
     existing = nxt.select("symbol", "idx")
-    reached = nxt.where(F.col("idx") == 0).select("symbol", "idx")
-    jump = nxt
+    reached = nxt.where(F.col("_free")).select("symbol", "idx")
+    jump = nxt.select("symbol", "idx", "jump")
     for r in range(rounds):
         step = reached.join(jump, ["symbol", "idx"]).select("symbol", F.col("jump").alias("idx"))
         step = step.join(existing, ["symbol", "idx"], "left_semi")
@@ -266,7 +277,7 @@ def _chain(exits: DataFrame, counts: DataFrame) -> DataFrame:
                 F.col("a.symbol").alias("symbol"), F.col("a.idx").alias("idx"),
                 F.coalesce(F.col("b.jump"), F.col("a.jump") + F.lit(1 << 40)).alias("jump"),
             ), "jump")
-    return idx.join(reached, ["symbol", "idx"], "left_semi").select("symbol", "s_rn")
+    return nxt.join(reached, ["symbol", "idx"], "left_semi").select("symbol", "s_rn")
 
 
 def trade_log(
@@ -286,5 +297,5 @@ def trade_log(
         signal = "_signal"
     exits = materialize(signal_exits(ticks, signal, rules, price, det, per, model_id, layout), "exits")
     counts = _count_inside(ticks, exits, signal, rules)
-    taken = _chain(exits, counts)
+    taken = _chain(exits, counts, rules.reenter_on_exit_tick)
     return exits.join(taken, ["symbol", "s_rn"], "left_semi").drop("s_rn")
