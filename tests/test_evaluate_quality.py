@@ -83,3 +83,23 @@ def test_sql_dump(spark, tmp_path):
     assert rows[2].symbol_value is None and rows[2].hide == "NULL" and rows[2].changed_by == "x'y"
     assert rows[3].bid_price is None and rows[3].changed_by == "multi\nline, text)"
     assert rej.first().rejected == 1
+
+
+def test_auc_chunked_equals_plain(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(g, int(rnd.random() < 0.4), round(rnd.random(), 2)) for g in ("a", "b") for _ in range(400)]
+    df = spark.createDataFrame(rows, "task string, label int, score double")
+    from ticklab.operators import layout
+
+    plain = {r.task: r.auc for r in evaluate.auc(df, ("task",), layout="symbol").collect()}
+    old = layout.DEFAULT_CHUNK_ROWS
+    layout.DEFAULT_CHUNK_ROWS = 7
+    try:
+        chunked = {r.task: r.auc for r in evaluate.auc(df, ("task",), layout="chunked").collect()}
+    finally:
+        layout.DEFAULT_CHUNK_ROWS = old
+    assert plain == chunked
+    for g in ("a", "b"):
+        assert abs(plain[g] - round(brute_auc([(y, s) for t, y, s in rows if t == g]), 6)) < 1e-9

@@ -45,18 +45,29 @@ def scores_from_confusion(cm: DataFrame) -> DataFrame:
     })
 
 
-def auc(df: DataFrame, groups=(), label="label", score="score") -> DataFrame:
+def auc(df: DataFrame, groups=(), label="label", score="score", layout: str | None = None) -> DataFrame:
     """ROC AUC by the tie-aware rank sum (average ranks); 0.0 when a group has one class.
 
-    Rows collapse to one row per distinct score first (partial aggregation), then a running
-    count of negatives below each score per group."""
-    by_score = df.groupBy(*groups, score).agg(
+    Rows collapse to one row per distinct score first (partial aggregation). The running count
+    of negatives below each score is a skew-safe running sum over score positions (per-group
+    window when every group fits one task, chunked otherwise)."""
+    from ticklab.operators.layout import resolve_layout, running_sum, with_positions
+
+    keys = tuple(groups) or ("_all",)
+    rows = df if groups else df.withColumn("_all", F.lit(0))
+    by_score = rows.groupBy(*keys, score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    below = Window.partitionBy(*groups).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = by_score.withColumn("_neg_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
+    lay = resolve_layout(by_score, layout, keys)
+    if lay == "symbol":
+        w = Window.partitionBy(*keys).orderBy(score)
+        ranked_pos = by_score.withColumn("_k", F.row_number().over(w))
+    else:
+        ranked_pos = with_positions(by_score, keys, (score,), "_k")
+    ranked = running_sum(ranked_pos, "_neg", "_neg_below", keys, "_k", inclusive=False, layout=lay)
+    ranked = ranked.withColumn("_neg_below", F.coalesce(F.col("_neg_below"), F.lit(0)))
     wins = F.col("_pos") * (F.col("_neg_below") + F.col("_neg") * F.lit(0.5))
-    agg = ranked.groupBy(*groups).agg(
+    agg = ranked.groupBy(*keys).agg(
         F.sum(wins).alias("_wins"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")
     )
     value = F.when((F.col("_p") == 0) | (F.col("_n") == 0), F.lit(0.0)).otherwise(

@@ -142,33 +142,49 @@ def run_series(
     return compute(chunked, w).where(F.col("_own")).drop("_chunk", "_own")
 
 
-def running_max(
+def running_agg(
     df: DataFrame,
     value_col: str,
     out_col: str,
     keys=SERIES_KEYS,
     pos_col: str = "rn",
     inclusive: bool = True,
+    how: str = "max",
     layout: str | None = None,
     chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Running max of ``value_col`` along ``pos_col`` within each key (up to and including the
-    row, or strictly before it). Chunked form: a window inside each (key, chunk) plus the max
-    of all earlier chunks (a per-key table with one row per chunk), so no task holds a series."""
+    """Running max or sum of ``value_col`` along ``pos_col`` within each key (up to and including
+    the row, or strictly before it). Chunked form: a window inside each (key, chunk) plus the
+    aggregate of all earlier chunks (a per-key table with one row per chunk), so no task holds a
+    whole series."""
+    agg = {"max": F.max, "sum": F.sum}[how]
     end = 0 if inclusive else -1
     lay = resolve_layout(df, layout, keys, chunk_rows)
     if lay == "symbol":
         w = Window.partitionBy(*keys).orderBy(pos_col).rowsBetween(Window.unboundedPreceding, end)
-        return df.withColumn(out_col, F.max(value_col).over(w))
+        return df.withColumn(out_col, agg(value_col).over(w))
     size = chunk_rows or DEFAULT_CHUNK_ROWS
     d = df.withColumn("_c", F.floor(F.col(pos_col) / F.lit(size)))
     inner = Window.partitionBy(*keys, "_c").orderBy(pos_col).rowsBetween(Window.unboundedPreceding, end)
-    local = d.withColumn("_lm", F.max(value_col).over(inner))
-    per_chunk = d.groupBy(*keys, "_c").agg(F.max(value_col).alias("_cm"))
+    local = d.withColumn("_lm", agg(value_col).over(inner))
+    per_chunk = d.groupBy(*keys, "_c").agg(agg(value_col).alias("_cm"))
     earlier = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    prior = per_chunk.select(*keys, "_c", F.max("_cm").over(earlier).alias("_pm"))
-    return (
-        local.join(prior, [*keys, "_c"], "left")
-        .withColumn(out_col, F.greatest(F.col("_pm"), F.col("_lm")))
-        .drop("_c", "_lm", "_pm")
-    )
+    prior = per_chunk.select(*keys, "_c", agg("_cm").over(earlier).alias("_pm"))
+    joined = local.join(prior, [*keys, "_c"], "left")
+    if how == "max":
+        value = F.greatest(F.col("_pm"), F.col("_lm"))
+    else:
+        value = F.when(F.col("_pm").isNull() & F.col("_lm").isNull(), F.lit(None)).otherwise(
+            F.coalesce(F.col("_pm"), F.lit(0)) + F.coalesce(F.col("_lm"), F.lit(0))
+        )
+    return joined.withColumn(out_col, value).drop("_c", "_lm", "_pm")
+
+
+def running_max(df: DataFrame, value_col: str, out_col: str, keys=SERIES_KEYS, pos_col: str = "rn",
+                inclusive: bool = True, layout: str | None = None, chunk_rows: int | None = None) -> DataFrame:
+    return running_agg(df, value_col, out_col, keys, pos_col, inclusive, "max", layout, chunk_rows)
+
+
+def running_sum(df: DataFrame, value_col: str, out_col: str, keys=SERIES_KEYS, pos_col: str = "rn",
+                inclusive: bool = True, layout: str | None = None, chunk_rows: int | None = None) -> DataFrame:
+    return running_agg(df, value_col, out_col, keys, pos_col, inclusive, "sum", layout, chunk_rows)
