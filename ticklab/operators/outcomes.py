@@ -146,21 +146,22 @@ def _band_exits(ticks: DataFrame, sigs: DataFrame, horizon: int, rules: ExitRule
 
 
 def _count_inside(ticks: DataFrame, trades: DataFrame, signal: str, rules: ExitRules, horizon_col="exit_pos") -> DataFrame:
-    """Number of signals strictly after the entry and up to (live: before) the exit tick."""
-    upper = (F.col("rn") < F.col(horizon_col)) if rules.reenter_on_exit_tick else (F.col("rn") <= F.col(horizon_col))
-    lengths = trades.select("symbol", "s_rn", horizon_col)
-    # bucket on the trade length so the join stays a band join
-    span = lengths.agg(F.max(F.col(horizon_col) - F.col("s_rn")).alias("m")).first()["m"] or 0
-    b = int(span) + 1
-    sig_ticks = ticks.where(F.col(signal)).select("symbol", "rn", F.floor(F.col("rn") / F.lit(b)).alias("_bkt"))
-    t = lengths.withColumn(
-        "_bkt", F.explode(F.array_distinct(F.array(F.floor(F.col("s_rn") / F.lit(b)), F.floor(F.col(horizon_col) / F.lit(b)))))
-    )
-    inside = t.join(sig_ticks, ["symbol", "_bkt"]).where((F.col("rn") > F.col("s_rn")) & upper)
-    counts = inside.groupBy("symbol", "s_rn").agg(F.count(F.lit(1)).alias("_inside"))
-    return lengths.join(counts, ["symbol", "s_rn"], "left").select(
-        "symbol", "s_rn", F.coalesce(F.col("_inside"), F.lit(0)).cast("long").alias("_inside")
-    )
+    """Number of signals strictly after the entry and up to (live: before) the exit tick.
+
+    A running count of signals over the ticks (skew-safe running sum) read at both ends of each
+    trade: inside = cs(exit) - cs(entry) (minus the exit tick's own signal for live rules). Two
+    equi-joins on (symbol, rn); the cost does not depend on how long trades are."""
+    from ticklab.operators.layout import running_sum
+
+    flags = ticks.select("symbol", "rn", F.col(signal).cast("int").alias("_sig"))
+    cs = running_sum(flags, "_sig", "_cs", ("symbol",), "rn", inclusive=True)
+    at_entry = cs.select("symbol", F.col("rn").alias("s_rn"), F.col("_cs").alias("_cs_s"))
+    at_exit = cs.select("symbol", F.col("rn").alias(horizon_col), F.col("_cs").alias("_cs_e"), F.col("_sig").alias("_sig_e"))
+    t = trades.select("symbol", "s_rn", horizon_col).join(at_entry, ["symbol", "s_rn"]).join(at_exit, ["symbol", horizon_col])
+    inside = F.col("_cs_e") - F.col("_cs_s")
+    if rules.reenter_on_exit_tick:
+        inside = inside - F.col("_sig_e")
+    return t.select("symbol", "s_rn", inside.cast("long").alias("_inside"))
 
 
 def signal_exits(

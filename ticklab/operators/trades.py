@@ -78,15 +78,21 @@ def extremes(trades: DataFrame, groups=("model_id",)) -> DataFrame:
     return trades.groupBy(*groups).agg(F.count_if((r > RETURN_HIGH) | (r < RETURN_LOW)).alias("n_extreme"))
 
 
-def equity_curve(trades: DataFrame, stake: float = STAKE) -> DataFrame:
+def equity_curve(trades: DataFrame, stake: float = STAKE, layout: str | None = None) -> DataFrame:
     """Compounded equity per (model, symbol), staking ``stake`` of equity on each trade in
-    exit-time order: exp(running sum of ln(1 + stake * return))."""
-    t = capped(trades)
-    w = Window.partitionBy("model_id", "symbol").orderBy("exit_time", "entry_pos").rowsBetween(Window.unboundedPreceding, 0)
-    growth = F.log(F.lit(1.0) + F.lit(stake) * F.col("return_pct") / F.lit(100.0))
-    return t.select(
-        "model_id", "symbol", "entry_pos", "exit_time", _r(F.exp(F.sum(growth).over(w))).alias("equity")
-    )
+    exit-time order: exp(running sum of ln(1 + stake * return)). The running sum is the
+    skew-safe one (no task holds all trades of a hot symbol)."""
+    from ticklab.operators.layout import resolve_layout, running_sum, with_positions
+
+    keys = ("model_id", "symbol")
+    t = capped(trades).withColumn("_g", F.log(F.lit(1.0) + F.lit(stake) * F.col("return_pct") / F.lit(100.0)))
+    lay = resolve_layout(t, layout, keys)
+    if lay == "symbol":
+        t = t.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("exit_time", "entry_pos")))
+    else:
+        t = with_positions(t, keys, ("exit_time", "entry_pos"), "_k")
+    t = running_sum(t, "_g", "_cum", keys, "_k", inclusive=True, layout=lay)
+    return t.select("model_id", "symbol", "entry_pos", "exit_time", _r(F.exp(F.col("_cum"))).alias("equity"))
 
 
 def running_stats(trades: DataFrame, groups=("model_id",)) -> DataFrame:
