@@ -123,6 +123,18 @@ def p4_required_defaults(spark, d):
     return quality.ensure_required(_ticks(spark, d), cols).select("tick_id", *cols)
 
 
+def p3_missing_symbol(spark, d):
+    """A tick table without a symbol column is one series named 'UNKNOWN'."""
+    t = quality.ensure_symbol(_valid(spark, d).drop("symbol"))
+    return t.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
+def p5_live_fill(spark, d):
+    """P5: live policy, warm-up rows keep their ticks with features filled with 0."""
+    f = add_features(_valid(spark, d), nulls="zero")
+    return _r(f.select("tick_id", *FEATURES), "volume_zscore")
+
+
 def p6_p10_quote_features(spark, d):
     from ticklab.functions import exprs
 
@@ -593,6 +605,10 @@ ORACLE = {
     "p4_required_defaults": _with(*BASE) + "SELECT tick_id, " + ", ".join(
         f"coalesce({c}, 0e0) AS {c}" for c in REQUIRED_COLUMNS + ["symbol_value_btc", "actual_value"]
     ) + " FROM ticks",
+    "p3_missing_symbol": _with(*BASE) + "SELECT 'UNKNOWN' AS symbol, count(*) AS n FROM valid",
+    "p5_live_fill": _with(*FEATS) + "SELECT tick_id, " + ", ".join(
+        f"round(coalesce({c}, 0e0), 6) AS {c}" if c == "volume_zscore" else f"coalesce({c}, 0e0) AS {c}" for c in FEATURES
+    ) + " FROM feat",
     "p6_p10_quote_features": _with(*BASE) + """SELECT tick_id, (bid_price + ask_price) / 2e0 AS mid_price,
   (ask_price - bid_price) / (bid_price + 1e-8) AS spread_pct, ask_price - bid_price AS spread_abs,
   bid_size / (ask_size + 1e-8) AS bid_ask_ratio,
