@@ -48,6 +48,21 @@ def series_window(keys=SERIES_KEYS, order=SERIES_ORDER):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+TARGET_PARTITION_BYTES = 256 << 20
+MAX_BROADCAST_OFFSET_ROWS = 1_000_000
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for numbering: the optimizer's size estimate / 256 MB, at least
+    ``spark.sql.shuffle.partitions`` (so 100 TB gets ~400k partitions, a test table 8)."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. streaming plans)
+        return base
+    return max(base, -(-size // TARGET_PARTITION_BYTES))
+
+
 def with_positions(
     df: DataFrame,
     keys=SERIES_KEYS,
@@ -64,7 +79,9 @@ def with_positions(
     millions of distinct keys, where ``partitions + keys`` rows is no longer small).
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
+    if n > MAX_BROADCAST_OFFSET_ROWS:
+        broadcast_offsets = False  # partitions + symbols rows would no longer be small
     sort_cols = [*keys, *order]
     ranged = (
         df.repartitionByRange(n, *sort_cols)
