@@ -41,3 +41,11 @@ def test_snapshot_prefix_and_read_since(spark):
     after = t.where((F.col("event_time") > mark) & (F.col("bid_price") > 0) & (F.col("ask_price") > 0)).count()
     assert len(batch) == min(50, after) and all(r.event_time > mark for r in batch)
     assert [r.event_time for r in batch] == sorted(r.event_time for r in batch)
+
+
+def test_load_report(spark):
+    from ticklab.operators.quality import load_report
+
+    before = spark.range(10)
+    r = load_report(before, before.where("id < 4")).first()
+    assert (r.rows_read, r.rows_kept, r.rows_removed, r.pct_kept) == (10, 4, 6, 40.0)

@@ -126,10 +126,11 @@ def log_loss(df: DataFrame, groups=(), label="label", score="score") -> DataFram
 
 def metrics(df: DataFrame, groups=("task", "split"), label="label", prediction="prediction", score="score") -> DataFrame:
     """E1 + E2 + E3 for every group (task x split) in one table."""
-    base = scores_from_confusion(confusion(df, groups, label, prediction))
-    return base.join(auc(df, groups, label, score), list(groups), "left") if groups else base.crossJoin(
-        auc(df, groups, label, score)
-    )
+    keys = list(groups) or ["_all"]
+    rows = df if groups else df.withColumn("_all", F.lit(0))
+    base = scores_from_confusion(confusion(rows, keys, label, prediction))
+    out = base.join(auc(rows, keys, label, score), keys, "left")
+    return out if groups else out.drop("_all")
 
 
 def entry_signal(det="det_prob", per="per_prob", det_threshold=0.7, per_threshold=0.5) -> Column:

@@ -80,12 +80,13 @@ def zero_density_filter(df: DataFrame, max_zero: int = 10, columns=None, keep_co
 def recent_days(df: DataFrame, days: int, column: str = "event_time", now: Column | None = None) -> DataFrame:
     """rows at or after max(time) - N days (or ``now`` - N days).
 
-    The cutoff is a one-row aggregate cross-joined (broadcast) to the rows: no driver round trip.
+    The cutoff is a scalar subquery (computed once, no driver round trip, no join); Spark pushes
+    the comparison into the parquet scan, and day-partitioned tables prune partitions at runtime.
     """
     if now is not None:
         return df.where(F.col(column) >= now - F.make_interval(days=F.lit(days)))
-    cutoff = df.agg((F.max(column) - F.make_interval(days=F.lit(days))).alias("_cutoff"))
-    return df.crossJoin(F.broadcast(cutoff)).where(F.col(column) >= F.col("_cutoff")).drop("_cutoff")
+    cutoff = df.agg((F.max(column) - F.make_interval(days=F.lit(days))).alias("_cutoff")).scalar()
+    return df.where(F.col(column) >= cutoff)
 
 
 def jump_filter(df: DataFrame, max_move: float = 0.5, price: str = "bid_price", window=None) -> DataFrame:
@@ -119,9 +120,9 @@ def known_symbol(df: DataFrame, column: str = "symbol") -> DataFrame:
 
 def load_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows read, kept, removed and percent kept, from one pass over each side."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_read"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_kept"))
-    return b.crossJoin(a).select(
+    b = before.agg(F.count(F.lit(1))).scalar()
+    a = after.agg(F.count(F.lit(1))).scalar()
+    return before.sparkSession.range(1).select(b.alias("rows_read"), a.alias("rows_kept")).select(
         "rows_read",
         "rows_kept",
         (F.col("rows_read") - F.col("rows_kept")).alias("rows_removed"),

@@ -13,13 +13,11 @@ from ticklab.operators.quality import valid_quote
 def read_since(df: DataFrame, since, limit: int | None = 1000, column: str = "event_time") -> DataFrame:
     """Valid quotes strictly after the mark, oldest first, at most ``limit`` rows.
 
-    ``since`` is a literal, a Column, or a one-row DataFrame with a ``mark`` column (kept lazy
-    via a broadcast cross join). The filter reaches the parquet scan when ``since`` is a literal."""
+    ``since`` is a literal, a Column, or a one-row DataFrame with a ``mark`` column (used as a
+    scalar subquery). Either way the comparison reaches the parquet scan."""
     rows = valid_quote(df, require_ask=True)
     if isinstance(since, DataFrame):
-        rows = rows.crossJoin(F.broadcast(since.select(F.col("mark").alias("_mark")))).where(
-            F.col(column) > F.col("_mark")
-        ).drop("_mark")
+        rows = rows.where(F.col(column) > since.select("mark").scalar())
     else:
         mark = since if isinstance(since, Column) else F.lit(since)
         rows = rows.where(F.col(column) > mark)
