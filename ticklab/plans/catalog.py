@@ -367,8 +367,9 @@ def _task_split_rows(spark, d):
     sp = ordering.positional_split(ordering.global_positions(cc))
     det = sp.select("split", F.lit("detection").alias("task"), F.col("label_detection").alias("label"), F.col("det_prob").alias("score"))
     per = sp.select("split", F.lit("persistence").alias("task"), F.col("label_persistence").alias("label"), F.col("per_prob").alias("score"))
-    rows = det.unionByName(per)
-    return rows.withColumn("prediction", (F.col("score") >= F.lit(0.5)).cast("int"))
+    rows = det.unionByName(per).withColumn("prediction", (F.col("score") >= F.lit(0.5)).cast("int"))
+    # confusion counts and rank sums both read these rows: written once
+    return materialize(rows, "task_split_rows")
 
 
 def e7_metrics_by_task_split(spark, d):
