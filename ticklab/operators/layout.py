@@ -34,13 +34,29 @@ DEFAULT_CHUNK_ROWS = 1 << 20
 DEFAULT_LAYOUT = "auto"
 
 
+_LARGEST_SERIES: dict[tuple, int] = {}
+
+
+def _plan_key(df: DataFrame, keys) -> tuple | None:
+    try:
+        return (int(df._jdf.queryExecution().analyzed().semanticHash()), tuple(keys))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): no memo
+        return None
+
+
 def resolve_layout(df: DataFrame, layout: str | None = None, keys=SERIES_KEYS, chunk_rows: int | None = None) -> str:
-    """Pick the layout; "auto" runs one partial aggregate (rows of the largest series)."""
+    """Pick the layout; "auto" runs one partial aggregate (rows of the largest series), memoized
+    per analyzed plan within the session so repeated pipelines over one input decide once."""
     layout = layout or DEFAULT_LAYOUT
     if layout != "auto":
         return layout
     limit = chunk_rows or DEFAULT_CHUNK_ROWS
-    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    key = _plan_key(df, keys)
+    biggest = _LARGEST_SERIES.get(key) if key else None
+    if biggest is None:
+        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if key:
+            _LARGEST_SERIES[key] = biggest
     return "symbol" if biggest <= limit else "chunked"
 
 

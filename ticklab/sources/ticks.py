@@ -48,8 +48,12 @@ def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         writer.partitionBy("event_date").format(fmt).save(path)
 
 
+# Schema of the driver's `events` table (declared, so no footer inference per read).
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def ticks_from_events(events: DataFrame) -> DataFrame:
