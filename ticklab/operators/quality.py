@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklab.functions.exprs import nan_to_null, zero_count
@@ -165,5 +165,5 @@ __all__ = [
     "coerce_numeric", "coerce_time", "coerce_ticks", "ensure_symbol", "ensure_required", "fill_features",
     "valid_quote", "drop_missing_time", "zero_density_filter", "recent_days", "jump_filter",
     "liquidity_filter", "complete_cases", "known_symbol", "load_report", "zero_report", "load_stats",
-    "concat_batches", "Window",
+    "concat_batches",
 ]
