@@ -149,7 +149,8 @@ def s2_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = quality.zero_density_filter(quality.valid_quote(load_ticks(spark, sf_dir), require_ask=True))
     write_ticks(clean, path)
     back = spark.read.parquet(path)
-    return back.where(F.col("event_date") >= F.date_sub(F.lit("2024-01-31").cast("date"), 3))
+    last_days = back.agg(F.date_sub(F.max("event_date"), 3)).scalar()
+    return back.where(F.col("event_date") >= last_days)
 
 
 def replay_folder(spark: SparkSession, ticks: DataFrame, name: str, n_files: int = 3) -> str:
