@@ -234,7 +234,32 @@ def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/scored")
 
 
+def compare_trained_models(spark: SparkSession, sf_dir: str, max_iter: int = 5) -> DataFrame:
+    """C1 on trained models: a one-score and a two-score model are trained on the train split,
+    both score the held-out rows, each runs the non-overlapping backtest (T2 rules, its own entry
+    rule: one score >= 0.85, two scores >= 0.7 / 0.5) and the metrics are put side by side."""
+    from ticklab.ml import models as ml
+    from ticklab.operators.compare import side_by_side
+    from ticklab.operators.ordering import global_positions, positional_split
+
+    lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
+    split = materialize(positional_split(global_positions(quality.complete_cases(lab).drop("rn"))), "split")
+    train = split.where(F.col("split") == "train")
+    held_out = split.where(F.col("split") != "train").drop("pos", "n_total")
+    params = ml.GBTParams(max_iter=max_iter)
+    logs = []
+    for kind, rule, per in (("one_score", entry_signal("det_prob", None, 0.85), None),
+                            ("two_score", entry_signal("det_prob", "per_prob", 0.7, 0.5), "per_prob")):
+        model = ml.train_one_score(train, params) if kind == "one_score" else ml.train_two_score(train, params)
+        scored = ml.score(model, held_out).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
+        scored = positioned(materialize(scored, f"scored_{kind}"))
+        logs.append(trade_log(scored, rule, BACKTEST, price="mid_price", det="det_prob", per=per, model_id=kind))
+    trades = materialize(logs[0].unionByName(logs[1]), "trained_trades")
+    return side_by_side(trades, "two_score", "one_score")
+
+
 EXTRA_QUERIES = {
+    "c1_trained_models": compare_trained_models,
     "r2_stream_features": r2_stream_features,
     "r3_score_stream": r3_score_stream,
     "r4_stream_positions": r4_stream_positions,
