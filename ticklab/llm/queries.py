@@ -66,6 +66,27 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+# ------------------------------------------------------------------ 5 line dedup
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+hot AS (SELECT k, max(doc_id) AS top FROM k WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT doc_id, line, i, hot.k IS NOT NULL AND doc_id <> top AS gone FROM k LEFT JOIN hot USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+
+@query("op5_line_dedup", OP5_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.line_dedup import drop_repeated_lines
+
+    out = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 # ------------------------------------------------------------------ 8 chat formatting
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
