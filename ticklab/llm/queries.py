@@ -87,6 +87,14 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+# ------------------------------------------------------------------ 6 SimHash near-dedup
+@query("op6_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.simhash import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"), words=3, radius=3)
+
+
 # ------------------------------------------------------------------ 8 chat formatting
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
