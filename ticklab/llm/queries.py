@@ -126,3 +126,26 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
                     F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
                     F.length("formatted").cast("long").alias("formatted_chars")))
+
+
+# ------------------------------------------------------------------ 9 byte-level BPE
+@query("op9_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ticklab.llm.bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = decode(encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+# ------------------------------------------------------------------ 10 packing
+@query("op10_harmonic_packing")
+def harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ticklab.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
