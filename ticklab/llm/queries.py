@@ -51,6 +51,21 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rules)
 
 
+# ------------------------------------------------------------------ 3 language ID
+def held_out(doc_id="doc_id"):
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2
+
+
+@query("op3_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.langid import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out() & F.col("lang").isNotNull()).select("text", F.col("lang").alias("label")))
+    out = predict(docs, model, ["doc_id"])
+    return out.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 # ------------------------------------------------------------------ 4 exact dedup
 OP4_SQL = """
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS s FROM documents)
