@@ -110,6 +110,29 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+# ------------------------------------------------------------------ 7 toxicity
+#: Chain order. The labels table has one toxicity and one quality flag; the two kinds of toxic text follow
+#: from both.
+TOXICITY = ["toxic", "toxic_junk", "toxic_fluent"]
+
+
+def toxicity_labels(labels: DataFrame) -> DataFrame:
+    toxic, good = F.col("toxic") == 1, F.col("quality") == 1
+    return labels.select("doc_id", toxic.cast("int").alias("toxic"), (toxic & ~good).cast("int").alias("toxic_junk"),
+                         (toxic & good).cast("int").alias("toxic_fluent"))
+
+
+@query("op7_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.toxicity import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, toxicity_labels(table(spark, sf_dir, "labels")), TOXICITY)
+    out = predict(docs, model, ["doc_id"])
+    return out.select("row.doc_id", *[F.get("p", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(TOXICITY)],
+                      F.coalesce(F.get("rejected", F.lit(0)), F.lit(False)).alias("toxic"))
+
+
 # ------------------------------------------------------------------ 8 chat formatting
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
