@@ -21,6 +21,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# ------------------------------------------------------------------ 1 nearest neighbours
+@query("op1_ann_forest")
+def ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.ann_forest import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 # ------------------------------------------------------------------ 2 URL filter
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
