@@ -1,16 +1,68 @@
 """The corpus pipeline: documents -> toxicity -> language ID -> line dedup -> SimHash near-dedup -> packing.
 
 Each stage is (name, function(spark, docs, sf_dir) -> DataFrame). Its result is written as Parquet to the
-shared checkpoint folder and read again as the next stage's documents.
+shared checkpoint folder and read again as the next stage's documents. All stages but the last return the
+columns of documents; rows with a null doc_id are ordinary documents.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ticklab.llm import langid, toxicity
 from ticklab.llm.common import staged, table
+from ticklab.llm.line_dedup import drop_repeated_lines
+from ticklab.llm.packing import pack
+from ticklab.llm.queries import TOXICITY, toxicity_labels
+from ticklab.llm.simhash import simhash_groups
 
-STAGES: list = []
+#: A document whose language is less certain than this is rejected, like one without a letter.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity probability stays below the cut that out-of-fold predictions gave."""
+    model = toxicity.train(docs, toxicity_labels(table(spark, sf_dir, "labels")), TOXICITY)
+    out = toxicity.predict(docs, model, docs.columns)
+    return out.where(~F.coalesce(F.get("rejected", F.lit(0)), F.lit(False))).select("row.*")
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter whose language is recognised; learns from the labelled ones."""
+    model = langid.train(docs.select("text", F.col("lang").alias("label")))
+    out = langid.predict(docs, model, docs.columns)
+    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that five or more share (the largest doc_id keeps them); n_chars follows."""
+    out = drop_repeated_lines(docs)
+    cols = [F.col(f"row.{c}") for c in docs.columns if c not in ("text", "n_chars")]
+    return out.select(*cols, "text", F.length("text").cast("long").alias("n_chars")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of every SimHash group (3-word shingles, 3 bits). Rows without an id go by their
+    text and yield to any row with one; rows that repeat an id are one document, of which one row stays."""
+    key = F.coalesce("doc_id", F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)).alias("key")
+    groups = simhash_groups(docs.select(key, "text"), "key", words=3, radius=3)
+    stays = staged(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("stay")).count(), "near-copies")
+    row = docs.select(key, F.struct("*").alias("row"))
+
+    def kept(keys: DataFrame) -> DataFrame:
+        return row.join(keys, row["key"] == keys["stay"], "left_semi")
+    once = kept(stays.where("count = 1"))
+    return once.unionByName(kept(stays.where("count > 1")).dropDuplicates(["key"])).select("row.*")
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("language_id", keep_known_languages), ("line_dedup", drop_lines),
+          ("simhash_near_dedup", drop_near_copies), ("packing", pack_documents)]
 ORACLE_SQL = None  # trained models decide two stages: not expressible in SQL
 
 

@@ -154,9 +154,10 @@ def train(labelled: DataFrame, per_class: int = PER_CLASS) -> dict | None:
     pick = rows.select("label", "hash").distinct().withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("hash"))).where(F.col("r") <= per_class)
     sample = rows.join(staged(pick.select("label", "hash"), "langid-sample"), ["label", "hash"], "left_semi").dropDuplicates(["label", "hash"])
     feats = staged(sample.mapInArrow(_features, "label string, hash long, at binary, tf binary"), "langid-features")
-    fitted = feats.groupBy().applyInPandas(_trainer(idf), "langs array<string>, weights binary, temperature double").first()
-    if fitted is None:
+    fitted = feats.groupBy().applyInPandas(_trainer(idf), "langs array<string>, weights binary, temperature double").collect()
+    if not fitted:
         return None
+    fitted = fitted[0]
     w = np.frombuffer(fitted["weights"], "<f4").reshape(BUCKETS, -1)
     return {"langs": list(fitted["langs"]), "weights": w * idf[:, None], "idf": idf, "temperature": fitted["temperature"]}
 

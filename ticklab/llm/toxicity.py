@@ -198,9 +198,10 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     sample = sample.select("doc_id", *categories, "weight", "fold", "text")
     feats = staged(sample.mapInArrow(_hash_words, f"doc_id long, {', '.join(f'{c} int' for c in categories)}, weight double, fold long, words binary"),
                    "toxicity-features")
-    m = feats.groupBy().applyInPandas(_trainer(categories), "vocab binary, weights binary, links array<array<double>>, cuts array<double>").first()
-    if m is None:
+    m = feats.groupBy().applyInPandas(_trainer(categories), "vocab binary, weights binary, links array<array<double>>, cuts array<double>").collect()
+    if not m:
         return None
+    m = m[0]
     return {"categories": categories, "vocab": np.frombuffer(m["vocab"], "<u8"), "cuts": list(m["cuts"]), "links": [list(x) for x in m["links"]],
             "weights": np.frombuffer(m["weights"], "<f8").reshape(len(categories), -1)}
 
