@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 import zstandard
@@ -34,7 +33,8 @@ from pyspark.sql import functions as F
 
 from ticklab.llm.pretokens import split_batches
 
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 21
+GATHERED = 1 << 18  # pre-tokens whose ids are gathered at a time
 
 
 @functools.cache
@@ -162,24 +162,33 @@ def _encode_words(path: str, pattern: str):
 
 
 def _reassemble(path: str):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         wide = "<u4" if len(ranks(path)) > 1 << 16 else "<u2"
-        a, right = left.iloc[0], right.sort_values("shard")
-        crcs = np.frombuffer(a["crcs"], "<i8")
-        if crcs[crcs >= 0].tolist() != right["crc"].tolist():
+        a, right = {n: left.column(n)[0] for n in left.column_names}, right.sort_by("shard")
+        crcs = np.frombuffer(a["crcs"].as_py(), "<i8")
+        if crcs[crcs >= 0].tolist() != right.column("crc").to_pylist():
             raise ValueError("a block was read differently the second time; stage the documents first")
-        packed = [unpack_lists(x) for x in right["ids"]]
+        packed = [unpack_lists(x.as_py()) for x in right.column("ids")]
         size = np.concatenate([p[0] for p in packed]) if packed else np.zeros(0, np.int64)
         flat = np.frombuffer(b"".join(p[1] for p in packed), wide)
         begin = np.cumsum(size) - size
+        del packed
         unzip = zstandard.ZstdDecompressor().decompress
-        planes = np.frombuffer(unzip(a["seq"]), np.uint8).reshape(4, -1)
-        seq = np.ascontiguousarray(planes.T).view("<i4").ravel()
-        order = np.frombuffer(unzip(a["order"]), "<i4")
+        seq = np.ascontiguousarray(np.frombuffer(unzip(a["seq"].as_py()), np.uint8).reshape(4, -1).T).view("<i4").ravel()
+        order = np.frombuffer(unzip(a["order"].as_py()), "<i4")
         size, begin = size[order], begin[order]
-        ends = np.cumsum(np.frombuffer(a["sizes"], "<i8")).tolist()
-        ids = [gather(flat, begin, size, seq[i:j]).astype("<u4").tobytes() for i, j in zip([0, *ends[:-1]], ends)]
-        return pd.DataFrame({"doc_id": pd.array([None if d is None or d != d else int(d) for d in a["docs"]], "Int64"), "ids": ids})
+        ids, at = np.empty(int(size[seq].sum()), "<u4"), 0
+        for k in range(0, len(seq), GATHERED):
+            part = gather(flat, begin, size, seq[k:k + GATHERED])
+            ids[at:at + len(part)] = part
+            at += len(part)
+        # ids before each document's end, in bytes
+        words = np.concatenate([[0], np.cumsum(size[seq])])
+        ends = 4 * words[np.cumsum(np.frombuffer(a["sizes"].as_py(), "<i8"))]
+        offsets = np.concatenate([[0], ends]).astype("<i4" if len(ids) < 1 << 29 else "<i8")
+        kind = pa.binary() if len(ids) < 1 << 29 else pa.large_binary()
+        data = pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        return pa.table({"doc_id": pa.array(a["docs"].as_py(), pa.int64()), "ids": data.cast(pa.binary())})
     return run
 
 
@@ -194,7 +203,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     words = texts.mapInArrow(_words(shards), "block long, shard int, words binary, crc long")
     answers = (words.repartition(shards, "shard").mapInArrow(_encode_words(path, pattern), "block long, shard int, ids binary, crc long"))
     seqs = texts.mapInArrow(_sequences(shards), "block long, docs array<long>, sizes binary, seq binary, order binary, crcs binary")
-    return (seqs.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_reassemble(path), "doc_id long, ids binary"))
+    return (seqs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_reassemble(path), "doc_id long, ids binary"))
 
 
 @functools.cache
