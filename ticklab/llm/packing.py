@@ -26,7 +26,7 @@ from ticklab.llm.bpe import gather
 from ticklab.llm.common import staged
 from ticklab.llm.pretokens import split_batches
 
-WORKER_PIECES = 500_000
+WORKER_PIECES = 100_000
 CACHED_WORDS = 600_000  # a worker's word cache starts afresh beyond this
 _JOINED = 4096
 
@@ -138,17 +138,21 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     stays null; other columns are ignored; an empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = staged(texts.mapInArrow(_pieces(path, end_id, capacity, min_head),
-                                     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tail binary"), "pieces")
-    workers = max(1, -(-pieces.count() // WORKER_PIECES))
+    pieces = texts.mapInArrow(_pieces(path, end_id, capacity, min_head),
+                              "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tail binary")
+    pieces = staged(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
+    # class 1: every piece is a bin of its own, which needs no numbering within a worker
+    single = F.col("length") * 2 > capacity
+    cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    alone = pieces.where(single).select(*cols, (-1 - F.col("rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    workers = max(1, -(-pieces.where(~single).count() // WORKER_PIECES))
     mine = Window.partitionBy("worker", "k")
-    dealt = (pieces.withColumn("worker", F.pmod(F.xxhash64("doc_id", "doc_tokens", "start", "ids_crc32"), F.lit(workers)))
+    dealt = (pieces.where(~single).drop("rid").withColumn("worker", F.pmod(F.xxhash64("doc_id", "doc_tokens", "start", "ids_crc32"), F.lit(workers)))
              .withColumn("k", F.floor(F.lit(capacity) / F.col("length")))
              .withColumn("r", F.row_number().over(mine.orderBy("doc_id", "start", "ids_crc32")) - 1)
              .withColumn("left", F.count(F.lit(1)).over(mine) % F.col("k"))
              .withColumn("i", F.col("r") - (F.count(F.lit(1)).over(mine) - F.col("left")).cast("int")))
     dealt = staged(dealt, "pieces-dealt")
-    cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def number(kind: int, k, place):
         """worker, kind, class and place in one long"""
@@ -186,4 +190,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     part = F.substring("tail", (F.col("skip") * 4 + 1).cast("int"), (F.col("n") * 4).cast("int"))
     tails = tails.select("doc_id", (F.col("start") + F.col("skip")).alias("start"), F.col("n").alias("length"), F.crc32(part).alias("ids_crc32"),
                          "doc_tokens", number(2, F.lit(0), F.col("s.place")).alias("sequence_id"), (F.col("lo") - F.col("s.lo")).alias("offset"))
-    return full.unionByName(heads).unionByName(tails)
+    return alone.unionByName(full).unionByName(heads).unionByName(tails)
