@@ -49,3 +49,67 @@ def test_load_report(spark):
     before = spark.range(10)
     r = load_report(before, before.where("id < 4")).first()
     assert (r.rows_read, r.rows_kept, r.rows_removed, r.pct_kept) == (10, 4, 6, 40.0)
+
+
+def _tuple(i, text):
+    return f"({i},'S1','EUR',1,2,3,4,5,6,7,{100 + i},8,9,10,11,12,13,14,15,'N',{text},5,'2024-01-01 00:00:{i:02d}')"
+
+
+def _dump(spark, tmp_path, text, name="d.sql"):
+    from ticklab.sources.dump import dump_rejects, read_sql_dump
+
+    path = tmp_path / name
+    path.write_bytes(text.encode())
+    ticks = {r.tick_id: (r.bid_price, r.changed_by) for r in read_sql_dump(spark, str(path)).collect()}
+    return ticks, [r.body for r in dump_rejects(spark, str(path)).collect()]
+
+
+def test_dump_line_ends_and_one_line(spark, tmp_path):
+    head = "-- made by a dump tool\nINSERT INTO `assets_history` (`a`, `b`) VALUES "
+    rows = [_tuple(i, "'t'") for i in range(1, 6)]
+    want = {i: (100.0 + i, "t") for i in range(1, 6)}
+    for k, between in enumerate([",\r\n", ",\n", ",", " ,\t"]):
+        text = head + between.join(rows[:3]) + ";\r\n" + head + between.join(rows[3:]) + ";\nCOMMIT;\n"
+        assert _dump(spark, tmp_path, text, f"{k}.sql") == (want, []), between
+
+
+def test_dump_quoting(spark, tmp_path):
+    long = "x" * 50_000 + "''" * 3000
+    cases = {1: (r"'it\'s'", "it's"), 2: (r"'a\\'", "a\\"), 3: (r"'\\\'\\'", "\\'\\"), 4: ("'NULL'", "NULL"), 5: ("NULL", None), 6: ("'),(1,2),\n('", "),(1,2),\n("),
+             7: ("');\nINSERT INTO x VALUES (1'", ");\nINSERT INTO x VALUES (1"), 8: (f"'{long}'", long.replace("''", "'")), 9: ("'a),\r\n'", "a),\r\n"), 10: ("'-- no comment'", "-- no comment")}
+    text = "INSERT INTO t VALUES\n" + ",\n".join(_tuple(i, q) for i, (q, _) in cases.items()) + ";\n"
+    ticks, rejects = _dump(spark, tmp_path, text)
+    assert rejects == [] and {i: t for i, (_, t) in ticks.items()} == {i: t for i, (_, t) in cases.items()}
+
+
+def test_dump_rejects_are_returned(spark, tmp_path):
+    text = "INSERT INTO t VALUES\n" + _tuple(1, "'t'") + ",\n(1,'too short'),\n" + _tuple(2, "'t'") + ";\nUPDATE t SET x = 1;\n"
+    ticks, rejects = _dump(spark, tmp_path, text)
+    assert set(ticks) == {1, 2} and sorted(rejects) == ["1,'too short'", "UPDATE t SET x = 1"]
+
+
+def test_dump_of_any_slice_reads_back(spark, tmp_path):
+    from ticklab.sources.dump import read_sql_dump, write_sql_dump
+
+    odd = F.when(F.col("tick_id") % 3 == 0, F.lit("\\'),(\\")).otherwise(F.col("changed_by"))
+    t = load_ticks(spark, SF001).where("tick_id % 7 <> 0").withColumn("changed_by", odd)
+    write_sql_dump(t, str(tmp_path / "out"), rows_per_insert=50, between=",\r\n")
+    back = read_sql_dump(spark, str(tmp_path / "out"))
+    assert back.count() == t.count()
+    j = back.alias("b").join(t.alias("t"), "tick_id")
+    assert j.where("NOT (b.changed_by <=> t.changed_by) OR NOT (b.bid_price <=> t.bid_price)").count() == 0
+
+
+def test_jdbc_slices_use_the_columns_they_select(spark):
+    from ticklab.sources.jdbc import read_jdbc_ticks, source_table
+
+    query = f"SELECT * FROM {source_table('h')} WHERE {day_predicates(dt.date(2024, 1, 1), dt.date(2024, 1, 2))[0]}"
+    inner = query[query.index("(SELECT ") + 8:query.index(" FROM h)")].split(", ")
+    for name in ("changed_time", "asth_bidPrice", "asth_askPrice"):
+        assert name in inner and name in query[query.index("WHERE"):]
+    try:
+        read_jdbc_ticks(spark, "jdbc:none:x")
+    except ValueError as e:
+        assert "required" in str(e)
+    else:
+        raise AssertionError("a read without slices must be refused")

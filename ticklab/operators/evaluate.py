@@ -66,12 +66,12 @@ def auc(df: DataFrame, groups=(), label="label", score="score", layout: str | No
         ranked_pos = with_positions(by_score, keys, (score,), "_k")
     ranked = running_sum(ranked_pos, "_neg", "_neg_below", keys, "_k", inclusive=False, layout=lay)
     ranked = ranked.withColumn("_neg_below", F.coalesce(F.col("_neg_below"), F.lit(0)))
-    wins = F.col("_pos") * (F.col("_neg_below") + F.col("_neg") * F.lit(0.5))
+    wins = F.col("_pos").cast("double") * (F.col("_neg_below") + F.col("_neg") * F.lit(0.5))
     agg = ranked.groupBy(*keys).agg(
         F.sum(wins).alias("_wins"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")
     )
     value = F.when((F.col("_p") == 0) | (F.col("_n") == 0), F.lit(0.0)).otherwise(
-        F.col("_wins") / (F.col("_p") * F.col("_n")).cast("double")
+        F.col("_wins") / (F.col("_p").cast("double") * F.col("_n").cast("double"))
     )
     return agg.select(*groups, _r(value).alias("auc"))
 

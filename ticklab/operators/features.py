@@ -12,8 +12,8 @@ from ticklab.schema import EPS, FEATURES, ZSCORE_WINDOW
 
 
 def pct_change(c: str, n: int, w) -> Column:
-    """X / x[n ticks back] - 1 (no forward padding)."""
-    return F.col(c) / F.lag(c, n).over(w) - F.lit(1.0)
+    """X / x[n ticks back] - 1 (no forward padding); NULL after a zero."""
+    return F.try_divide(F.col(c), F.lag(c, n).over(w)) - F.lit(1.0)
 
 
 def diff(c: str, n: int, w) -> Column:
@@ -91,12 +91,10 @@ def last_ticks(df: DataFrame, n: int = 200, warmup: int = 50, keys=SERIES_KEYS,
 
 
 def newest_per_symbol(df: DataFrame, keys=SERIES_KEYS, order=SERIES_ORDER) -> DataFrame:
-    """The newest row of each symbol with all its columns, by ``max_by`` over a struct
-    (hash aggregate with partial aggregation: no sort, no per-symbol task holding the series)."""
-    cols = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in cols])
-    order_key = F.struct(*[F.col(c) for c in order])
-    return df.groupBy(*keys).agg(F.max_by(packed, order_key).alias("_row")).select(*keys, "_row.*")
+    """The newest row of each symbol with all its columns: one row number a symbol, cut to the
+    first on the map side (WindowGroupLimit), so a task ships one row a symbol and no symbol gathers."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") == 1).drop("_back")
 
 
 __all__ = ["add_features", "last_ticks", "newest_per_symbol", "pct_change", "diff", "zscore", "FEATURES"]

@@ -20,31 +20,23 @@ from ticklab.schema import (
 )
 
 APPROX_ACCURACY = 100_000
-MAX_CANDIDATES = 100_000
-
-
-def _interpolate(sorted_vals: list[float], start_rank: int, k: float) -> float:
-    lo, hi = math.floor(k), math.ceil(k)
-    a, b = sorted_vals[lo - start_rank], sorted_vals[hi - start_rank]
-    return a + (b - a) * (k - lo)
+MAX_CANDIDATES = 8192
 
 
 def exact_quantiles(
-    df: DataFrame,
-    wanted: dict[str, list[float]],
-    method: str = "select",
-    accuracy: int = APPROX_ACCURACY,
+    df: DataFrame, wanted: dict[str, list[float]], method: str = "select", accuracy: int = APPROX_ACCURACY,
     max_candidates: int = MAX_CANDIDATES,
 ) -> dict[tuple[str, float], float | None]:
     """L1: exact linear-interpolated quantiles (pandas ``quantile``, SQL ``quantile_cont``).
 
-    ``method="select"`` never holds a value histogram: one pass takes the count and
-    ``percentile_approx`` brackets around each target (rank error <= n/accuracy); a second
-    counts rows below / inside each bracket; only the bracketed candidates (bounded by
-    ``max_candidates``, narrowed again while larger) reach the driver to pick the exact ranks.
-    ``method="histogram"`` uses Spark's exact ``percentile`` (one aggregate, memory grows with
-    the number of distinct values: fine to ~10^7). ``method="approx"`` is ``percentile_approx``.
-    NULL and NaN values are ignored.
+    ``method="select"`` finds the wanted ranks by bucket counts: every pass counts the rows of each
+    target's current value range in ``max_candidates`` equal slices (with each slice's own lowest and highest
+    value, combined on the map side) and goes on in the slice that holds the rank. A slice whose lowest
+    and highest value agree (ties), or whose end is the rank, ends the search. No value map, no sketch;
+    the driver sees at most ``max_candidates`` + 2 rows a target and pass. Each pass takes off at least the
+    range's lowest and highest value, so any input ends, whatever its ties.
+    ``method="histogram"`` uses Spark's exact ``percentile`` (memory grows with the distinct values).
+    ``method="approx"`` is ``percentile_approx``. NULL and NaN values are ignored.
     """
     def clean(c):
         return F.col(c).isNotNull() & ~F.isnan(F.col(c))
@@ -59,99 +51,55 @@ def exact_quantiles(
         row = df.agg(*aggs).first()
         return {k: row[f"q{i}"] for i, k in enumerate(keys)}
 
-    force_narrow = method == "narrow"
-    delta = 2.0 / accuracy
-    pass1 = []
-    for c in wanted:
-        pass1.append(F.count_if(clean(c)).alias(f"n_{c}"))
-    for i, (c, p) in enumerate(keys):
-        qs = [max(0.0, p - delta), min(1.0, p + delta)]
-        pass1.append(F.percentile_approx(F.when(clean(c), F.col(c)), qs, accuracy).alias(f"b{i}"))
-    r1 = df.agg(*pass1).first()
-
-    state = {}
-    for i, (c, p) in enumerate(keys):
-        n = r1[f"n_{c}"]
+    stats = []
+    for i, c in enumerate(wanted):
+        v = F.when(clean(c), F.col(c).cast("double"))
+        stats += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    r = df.agg(*stats).first()
+    size = {c: (r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(wanted)}
+    at: dict[tuple[str, int], float] = {}  # value at (column, rank)
+    ranks = {(c, f(p * (size[c][0] - 1))) for c, p in keys if size[c][0] for f in (math.floor, math.ceil)}
+    open_ = {}
+    for c, rank in ranks:
+        n, lo, hi = size[c]
+        if rank in (0, n - 1) or lo == hi:
+            at[c, rank] = lo if rank == 0 else hi
+        else:
+            open_[c, rank] = (lo, hi, 0)
+    while open_:
+        ranges = sorted({(c, lo, hi) for (c, _), (lo, hi, _) in open_.items()})
+        entries = []
+        for i, (c, lo, hi) in enumerate(ranges):
+            v = F.col(c).cast("double")
+            share = (v / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)  # halves: the range may exceed the largest double
+            slot = F.when(v == lo, 0).when(v == hi, max_candidates + 1).when(F.isnan(share), 1).otherwise(
+                F.least(F.lit(max_candidates), F.greatest(F.lit(1), F.floor(share * max_candidates) + 1)))
+            entries.append(F.when(clean(c) & v.between(lo, hi), F.struct(F.lit(i).alias("i"), slot.cast("int").alias("slot"), v.alias("v"))))
+        rows = (df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("e")).groupBy("e.i", "e.slot")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("lo"), F.max("e.v").alias("hi")).collect())
+        slots = {i: sorted((x for x in rows if x["i"] == i), key=lambda x: x["slot"]) for i in range(len(ranges))}
+        for (c, rank), (lo, hi, below) in list(open_.items()):
+            for x in slots[ranges.index((c, lo, hi))]:
+                if rank < below + x["n"]:
+                    break
+                below += x["n"]
+            if x["lo"] == x["hi"] or rank in (below, below + x["n"] - 1):
+                at[c, rank] = x["lo"] if rank == below else x["hi"]
+                del open_[c, rank]
+            else:
+                open_[c, rank] = (x["lo"], x["hi"], below)
+    out: dict[tuple[str, float], float | None] = {}
+    for c, p in keys:
+        n = size[c][0]
         if not n:
-            state[(c, p)] = None
+            out[c, p] = None
             continue
-        lo, hi = r1[f"b{i}"]
-        state[(c, p)] = {"k": p * (n - 1), "lo": lo, "hi": hi, "below": 0}
-
-    live = [k for k in keys if state[k] is not None]
-    out: dict[tuple[str, float], float | None] = {k: None for k in keys if state[k] is None}
-    if not live:
-        return out
-    # Pass 2: one bounded aggregate. Every value below its bracket becomes a NULL marker,
-    # every value inside keeps its value; groupBy(value) collapses ties and the markers
-    # (partial aggregation), so the driver receives distinct bracket values with counts.
-    entries = []
-    for i, key in enumerate(live):
-        c, _ = key
-        s = state[key]
-        v = F.col(c)
-        entries.append(
-            F.when(clean(c) & (v < F.lit(s["lo"])), F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
-            .when(v.between(s["lo"], s["hi"]), F.struct(F.lit(i).alias("i"), v.cast("double").alias("v")))
-        )
-    est = max(r1[f"n_{c}"] for c, _ in live) * 4.0 / accuracy
-    if est <= max_candidates and not force_narrow:
-        exploded = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("e")).select("e.*")
-        rows = exploded.groupBy("i", "v").count().collect()
-        for i, key in enumerate(live):
-            mine = [(r["v"], r["count"]) for r in rows if r["i"] == i]
-            below = sum(n for v, n in mine if v is None)
-            cands = sorted((v, n) for v, n in mine if v is not None)
-            value = _from_counts(cands, below, state[key]["k"])
-            if value is None:  # bracket missed the rank (should not happen): exact fallback
-                value = exact_quantiles(df, {key[0]: [key[1]]}, method="histogram")[key]
-            out[key] = value
-        return out
-    for key in live:
-        out[key] = _narrow(df, key, state[key], accuracy, max_candidates, clean)
+        k = p * (n - 1)
+        a, b = at[c, math.floor(k)], at[c, math.ceil(k)]
+        out[c, p] = a if a == b else a + (b - a) * (k - math.floor(k))
     return out
 
 
-def _from_counts(cands, below, k):
-    """Value at fractional rank k from (value, count) pairs sorted by value, ``below`` rows lower."""
-    lo_rank, hi_rank = math.floor(k), math.ceil(k)
-    if lo_rank < below:
-        return None
-    found = {}
-    pos = below
-    for v, n in cands:
-        for r in (lo_rank, hi_rank):
-            if r not in found and pos <= r < pos + n:
-                found[r] = v
-        pos += n
-    if lo_rank not in found or hi_rank not in found:
-        return None
-    a, b = found[lo_rank], found[hi_rank]
-    return a + (b - a) * (k - lo_rank)
-
-
-def _narrow(df, key, s, accuracy, max_candidates, clean):
-    """Large-n path: shrink the bracket with percentile_approx on the bracket rows until it
-    holds at most ``max_candidates`` values, then pick the exact ranks."""
-    c, _ = key
-    delta = 2.0 / accuracy
-    lo, hi = s["lo"], s["hi"]
-    r = df.agg(F.count_if(clean(c) & (F.col(c) < lo)).alias("b"), F.count_if(F.col(c).between(lo, hi)).alias("n")).first()
-    below, cand = r["b"], r["n"]
-    inside = F.col(c).between(lo, hi)
-    while cand > max_candidates:
-        sub = df.where(inside)
-        r_lo = s["k"] - below
-        m = cand
-        qs = [max(0.0, math.floor(r_lo) / max(m - 1, 1) - delta), min(1.0, math.ceil(r_lo) / max(m - 1, 1) + delta)]
-        lo, hi = sub.agg(F.percentile_approx(F.col(c), qs, accuracy)).first()[0]
-        inside = F.col(c).between(lo, hi)
-        r = sub.agg(F.count_if(F.col(c) < lo).alias("b"), F.count_if(inside).alias("n")).first()
-        below, cand = below + r["b"], r["n"]
-    vals = sorted(row[0] for row in df.where(inside).select(c).collect())
-    return _interpolate(vals, below, s["k"])
-
-
 @dataclass
 class Thresholds:
     momentum: float | None

@@ -6,7 +6,7 @@ symbol holds a third of 100 TB that task is the job. Instead:
 * ``with_positions`` (O3/W7) range-partitions on (symbol, time, id), numbers rows inside each
   range partition, and adds the per-(symbol, partition) prefix offsets. The offsets table has at
   most ``partitions + symbols`` rows (each range partition is one contiguous slice of the sort
-  order), so it is broadcast. The numbered frame is checkpointed to the shared checkpoint folder
+  order). The numbered frame is checkpointed to the shared checkpoint folder
   first: two independently planned range exchanges may sample different bounds, so the offsets
   must be computed from the same materialized numbering the rows carry (it also cuts lineage,
   so a lost executor never re-numbers rows).
@@ -34,30 +34,13 @@ DEFAULT_CHUNK_ROWS = 1 << 20
 DEFAULT_LAYOUT = "auto"
 
 
-_LARGEST_SERIES: dict[tuple, int] = {}
-
-
-def _plan_key(df: DataFrame, keys) -> tuple | None:
-    try:
-        return (int(df._jdf.queryExecution().analyzed().semanticHash()), tuple(keys))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): no memo
-        return None
-
-
 def resolve_layout(df: DataFrame, layout: str | None = None, keys=SERIES_KEYS, chunk_rows: int | None = None) -> str:
-    """Pick the layout; "auto" runs one partial aggregate (rows of the largest series), memoized
-    per analyzed plan within the session so repeated pipelines over one input decide once."""
+    """Pick the layout; "auto" runs one partial aggregate (rows of the largest series)."""
     layout = layout or DEFAULT_LAYOUT
     if layout != "auto":
         return layout
-    limit = chunk_rows or DEFAULT_CHUNK_ROWS
-    key = _plan_key(df, keys)
-    biggest = _LARGEST_SERIES.get(key) if key else None
-    if biggest is None:
-        biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if key:
-            _LARGEST_SERIES[key] = biggest
-    return "symbol" if biggest <= limit else "chunked"
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    return "symbol" if biggest <= (chunk_rows or DEFAULT_CHUNK_ROWS) else "chunked"
 
 
 def series_window(keys=SERIES_KEYS, order=SERIES_ORDER):
@@ -65,18 +48,19 @@ def series_window(keys=SERIES_KEYS, order=SERIES_ORDER):
 
 
 TARGET_PARTITION_BYTES = 256 << 20
-MAX_BROADCAST_OFFSET_ROWS = 1_000_000
+MAX_PARTITIONS = 1 << 20
 
 
 def range_partitions(df: DataFrame) -> int:
-    """Range partitions for numbering: the optimizer's size estimate / 256 MB, at least
-    ``spark.sql.shuffle.partitions`` (so 100 TB gets ~400k partitions, a test table 8)."""
+    """Range partitions for numbering: the optimizer's size estimate / 256 MB (100 TB: ~400k partitions),
+    at least ``spark.sql.shuffle.partitions`` and at most MAX_PARTITIONS (estimates of joins multiply
+    their sides and may be far too large)."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. streaming plans)
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # no JVM plan to ask (Spark Connect)
         return base
-    return max(base, -(-size // TARGET_PARTITION_BYTES))
+    size = int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(MAX_PARTITIONS, max(base, -(-size // TARGET_PARTITION_BYTES)))
 
 
 def with_positions(
@@ -85,19 +69,15 @@ def with_positions(
     order=SERIES_ORDER,
     pos_col: str = "rn",
     num_partitions: int | None = None,
-    broadcast_offsets: bool = True,
     materialize: bool = True,
 ) -> DataFrame:
     """Add ``pos_col`` = 0-based position of the row in its series, ordered by ``order``.
 
-    No single-partition window and no per-symbol task: see module docstring.
-    ``broadcast_offsets=False`` joins the offsets with a shuffle instead (for inputs with
-    millions of distinct keys, where ``partitions + keys`` rows is no longer small).
+    No single-partition window and no per-symbol task: see module docstring. The offsets table is
+    written once, so its true size decides between a broadcast and a shuffle join (Spark's own
+    threshold; no hint).
     """
-    spark = df.sparkSession
     n = num_partitions or range_partitions(df)
-    if n > MAX_BROADCAST_OFFSET_ROWS:
-        broadcast_offsets = False  # partitions + symbols rows would no longer be small
     sort_cols = [*keys, *order]
     ranged = (
         df.repartitionByRange(n, *sort_cols)
@@ -116,8 +96,8 @@ def with_positions(
     offsets = stats.select(
         *keys, "_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
-    if broadcast_offsets:
-        offsets = F.broadcast(offsets)
+    if materialize:
+        offsets = write_once(offsets, "offsets")
     return (
         ranged.join(offsets, [*keys, "_pid"])
         .withColumn(pos_col, F.col("_off") + F.col("_local") - F.col("_first"))
@@ -154,25 +134,32 @@ def run_series(
     order=SERIES_ORDER,
     pos_col: str = "rn",
     chunk_rows: int | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """Apply ``compute(df, window)`` whose windows look at most ``before`` rows back and
     ``after`` rows ahead. The result carries ``pos_col`` (W7) and no helper columns.
 
-    ``df`` may already carry ``pos_col`` (then it is reused as the order)."""
+    ``df`` may already carry ``pos_col``: it is the order then and stays as it is. Chunks need positions
+    without gaps; a carried one counts as gapped (a filter may have run) unless ``dense`` says otherwise,
+    and rows are numbered afresh for the chunks."""
     chunk_rows = chunk_rows or DEFAULT_CHUNK_ROWS
-    layout = resolve_layout(df, layout, keys, chunk_rows) if pos_col not in df.columns else (layout or DEFAULT_LAYOUT)
-    if layout == "auto":
-        layout = "chunked"
+    layout = resolve_layout(df, layout, keys, chunk_rows)
     if layout == "symbol":
+        if pos_col in df.columns:
+            return compute(df, Window.partitionBy(*keys).orderBy(pos_col))
         w = Window.partitionBy(*keys).orderBy(*order)
-        out = df if pos_col in df.columns else df.withColumn(pos_col, F.row_number().over(w) - 1)
-        return compute(out, w)
+        return compute(df.withColumn(pos_col, F.row_number().over(w) - 1), w)
     if layout != "chunked":
         raise ValueError(f"unknown layout {layout!r}")
-    positioned = df if pos_col in df.columns else with_positions(df, keys, order, pos_col)
-    chunked = with_chunks(positioned, chunk_rows, before, after, pos_col)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(pos_col)
-    return compute(chunked, w).where(F.col("_own")).drop("_chunk", "_own")
+    at = pos_col
+    if pos_col in df.columns and not dense:
+        at = "_dense"
+        positioned = with_positions(df, keys, (pos_col,), at)
+    else:
+        positioned = df if pos_col in df.columns else with_positions(df, keys, order, pos_col)
+    chunked = with_chunks(positioned, chunk_rows, before, after, at)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(at)
+    return compute(chunked, w).where(F.col("_own")).drop("_chunk", "_own", "_dense")
 
 
 def running_agg(

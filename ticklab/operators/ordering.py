@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklab.operators.layout import SERIES_KEYS, SERIES_ORDER, resolve_layout, with_positions
+from ticklab.session import materialize
 
 
 def sort_series(df: DataFrame, keys=SERIES_KEYS, order=SERIES_ORDER) -> DataFrame:
@@ -24,8 +25,8 @@ def global_positions(
 ) -> DataFrame:
     """O3: 0-based position of each row in the global (symbol, time, id) order.
 
-    Per-symbol positions (skew-safe, see layout) plus per-symbol offsets: the offsets table has
-    one row per symbol, so the window over it is tiny. No single-partition window over rows."""
+    Per-symbol positions (skew-safe, see layout) plus per-symbol offsets: one row per symbol, numbered
+    like any series and written once, so its true size decides how it is joined."""
     if series_pos not in df.columns:
         if resolve_layout(df, layout, keys) == "symbol":
             w = Window.partitionBy(*keys).orderBy(*order)
@@ -33,14 +34,17 @@ def global_positions(
         else:
             df = with_positions(df, keys, order, series_pos)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    prior = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *keys,
-        F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy()).alias("_total"),
-    )
+    sizes = materialize(sizes, "series-sizes")
+    # symbols in order, dealt to ranges: a window per range plus the ranges before it
+    ranged = materialize(sizes.repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()), "series-ranges")
+    prior = Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_p").agg(F.sum("_n").alias("_pn"))  # at most one row a partition
+    earlier = parts.select("_p", F.coalesce(F.sum("_pn").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    offsets = ranged.join(earlier, "_p").select(
+        *keys, (F.coalesce(F.sum("_n").over(prior), F.lit(0)) + F.col("_before")).alias("_off"),
+        sizes.agg(F.sum("_n")).scalar().alias("_total"))
     return (
-        df.join(F.broadcast(offsets), list(keys))
+        df.join(offsets, list(keys))
         .withColumn(pos_col, F.col("_off") + F.col(series_pos))
         .withColumnRenamed("_total", "n_total")
         .drop("_off")

@@ -8,8 +8,10 @@ tick whose rule fires is picked with ``min_by``.
 
 * T1 tests the exits independently in priority order inside a fixed horizon H (max hold fires at H).
 * T2 reproduces the backtest walk: one position per symbol, trailing branch shadows max hold and
-  signal lost once the peak exceeds 0.3 %. Such a position can stay open past H, so signals not
-  resolved inside the band are searched again with a 4x longer band (only those signals).
+  signal lost once the peak exceeds 0.3 %. Such a position can stay open past H: signals not
+  resolved inside the band go on in a barrier search over a tree of block summaries (``_search``),
+  which skips every block whose lowest and highest price cannot fire a rule. No signal is dropped
+  and none rereads the ticks it has passed; a search costs about 2 log64(ticks) small joins.
   The walk's choice of which signals become trades is a chain: next(i) = i + 1 + (signals inside
   trade i). It is followed by pointer doubling (log2 of the chain length rounds of joins) -- no
   per-symbol sequential task.
@@ -99,13 +101,12 @@ def _reason(rules: ExitRules, ret: Column, peak: Column, held: Column, det: Colu
 
 
 def _band_exits(ticks: DataFrame, sigs: DataFrame, horizon: int, rules: ExitRules, price: str,
-                det: str | None, per: str | None, signal: str, last_rn: DataFrame) -> DataFrame:
-    """First exit of each signal within [s, s + horizon]; NULL exit when unresolved."""
+                det: str | None, per: str | None, last_rn: DataFrame) -> DataFrame:
+    """First exit of each signal within [s, s + horizon]; NULL exit when unresolved, and the peak so far."""
     b = horizon + 1
     tick_side = ticks.select(
         "symbol", "rn", F.col(price).alias("_px"), "event_time",
         *( [F.col(det).alias("_det")] if det else [] ), *( [F.col(per).alias("_per")] if per else [] ),
-        F.col(signal).alias("_is_sig"),
         F.floor(F.col("rn") / F.lit(b)).alias("_bkt"),
     )
     sig_side = sigs.select(
@@ -115,7 +116,7 @@ def _band_exits(ticks: DataFrame, sigs: DataFrame, horizon: int, rules: ExitRule
     band = sig_side.join(tick_side, ["symbol", "_bkt"]).where(
         (F.col("rn") >= F.col("s_rn")) & (F.col("rn") <= F.col("s_rn") + F.lit(horizon))
     )
-    ret = (F.col("_px") - F.col("entry_price")) / F.col("entry_price")
+    ret = F.try_divide(F.col("_px") - F.col("entry_price"), F.col("entry_price"))
     per_signal = Window.partitionBy("symbol", "s_rn").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
     band = band.withColumn("_ret", ret).withColumn("_peak", F.max("_ret").over(per_signal))
     held = F.col("rn") - F.col("s_rn")
@@ -124,25 +125,122 @@ def _band_exits(ticks: DataFrame, sigs: DataFrame, horizon: int, rules: ExitRule
     if not rules.exit_on_entry_tick:
         reason = F.when(held > 0, reason)
     band = band.withColumn("_reason", reason)
-    exit_row = F.struct(
-        F.col("rn").alias("exit_pos"), F.col("event_time").alias("exit_time"), F.col("_px").alias("exit_price"),
-        *( [F.col("_det").alias("exit_det_prob")] if det else [F.lit(None).cast("double").alias("exit_det_prob")] ),
-        *( [F.col("_per").alias("exit_per_prob")] if per else [F.lit(None).cast("double").alias("exit_per_prob")] ),
-        F.col("_ret").alias("_ret"), F.col("_reason").alias("exit_reason"),
-    )
+    exit_row = _exit_row("_det" if det else None, "_per" if per else None)
     fired = F.col("_reason").isNotNull()
     agg = band.groupBy("symbol", "s_rn").agg(
         F.min_by(exit_row, F.when(fired, F.col("rn"))).alias("_exit"),
         F.max_by(exit_row, F.col("rn")).alias("_last"),
-        F.max("rn").alias("_band_end"),
+        F.max("rn").alias("_band_end"), F.max("_ret").alias("_peak"),
     )
-    # Signals inside the trade (strictly after entry, up to the exit; before it for live rules).
     agg = agg.join(last_rn, "symbol")
     resolved_exit = F.coalesce(
         F.col("_exit"),
         F.when(F.col("_band_end") >= F.col("_sym_last"), F.col("_last").withField("exit_reason", F.lit("END_OF_DATA"))),
     )
-    return agg.select("symbol", "s_rn", resolved_exit.alias("_x"))
+    return agg.select("symbol", "s_rn", resolved_exit.alias("_x"), "_peak")
+
+
+def _exit_row(det: str | None, per: str | None) -> Column:
+    none = F.lit(None).cast("double")
+    return F.struct(
+        F.col("rn").alias("exit_pos"), F.col("event_time").alias("exit_time"), F.col("_px").alias("exit_price"),
+        (F.col(det) if det else none).alias("exit_det_prob"), (F.col(per) if per else none).alias("exit_per_prob"),
+        F.col("_ret").alias("_ret"), F.col("_reason").alias("exit_reason"),
+    )
+
+
+FANOUT = 64  # children per block of the summary tree
+
+
+def _summary_tree(ticks: DataFrame, rules: ExitRules, price: str, det: str | None, per: str | None, last: int) -> DataFrame:
+    """(level, symbol, parent, kids): kids are the up to FANOUT blocks of one parent in order, each with its
+    lowest, highest and lowest lost-signal price. Level 0 blocks are single ticks, a level-l block spans
+    FANOUT^l positions. Every level is FANOUT times smaller than the one below."""
+    if det is None:
+        lost = F.lit(False)
+    elif per is None:
+        lost = F.col(det) < F.lit(rules.single_lost_below)
+    else:
+        lost = (F.col(det) < F.lit(rules.det_threshold * 0.5)) & (F.col(per) < F.lit(rules.per_threshold * 0.5))
+    px = F.col(price)
+    level = ticks.select("symbol", F.col("rn").alias("blk"), px.alias("lo"), px.alias("hi"), F.when(lost, px).alias("lost"))
+    tree, depth, span = None, 0, 1
+    while True:
+        kids = level.groupBy("symbol", F.floor(F.col("blk") / FANOUT).alias("parent")).agg(
+            F.array_sort(F.collect_list(F.struct("blk", "lo", "hi", "lost"))).alias("kids"))
+        kids = materialize(kids.select(F.lit(depth).alias("level"), "symbol", "parent", "kids"), "summary")
+        tree = kids if tree is None else tree.unionByName(kids)
+        span *= FANOUT
+        if span > last:
+            return tree
+        each = lambda f: F.transform("kids", lambda k: k[f])
+        level = kids.select("symbol", F.col("parent").alias("blk"), F.array_min(each("lo")).alias("lo"),
+                            F.array_max(each("hi")).alias("hi"), F.array_min(each("lost")).alias("lost"))
+        depth += 1
+
+
+def _search(open_: DataFrame, tree: DataFrame, rules: ExitRules, last: int) -> DataFrame:
+    """(symbol, s_rn, exit_pos, _peak): first position at or after ``blk`` whose tick fires a rule, NULL at the
+    end of the series. ``open_``: symbol, s_rn, entry_price, blk, _peak.
+
+    State per signal: tree level and next block there. A round looks at the rest of the current parent's
+    blocks (one equi-join, at most FANOUT per signal): a block that may fire is entered (on level 0 it is the
+    exit), else the search goes on behind the parent, one level up. Positions only grow, so it ends."""
+    top = max(0, math.ceil(math.log(last + 1, FANOUT)) - 1) if last else 0
+
+    def fires(kid, peak):
+        a = F.try_divide(kid["lo"] - F.col("entry_price"), F.col("entry_price"))
+        b = F.try_divide(kid["hi"] - F.col("entry_price"), F.col("entry_price"))
+        low, high = F.least(a, b), F.greatest(a, b)
+        hit = (high >= F.lit(rules.profit_target)) | (low <= F.lit(-rules.stop_loss))
+        if rules.mode == "live":
+            lost = F.try_divide(kid["lost"] - F.col("entry_price"), F.col("entry_price"))
+            return F.coalesce(hit, F.lit(False)) | F.coalesce(lost < F.lit(rules.lost_return), F.lit(False)), high
+        # behind the band the trailing stop is armed (else max hold would have fired)
+        hit = hit | (low <= F.lit(-rules.hard_stop)) | (low < F.greatest(peak, high) * F.lit(rules.trailing_keep))
+        return F.coalesce(hit, F.lit(False)), high
+
+    def step(acc, kid):
+        hit, high = fires(kid, acc["peak"])
+        over = acc["found"].isNotNull() | (kid["blk"] < F.col("blk"))
+        return F.struct(
+            F.when(over, acc["found"]).when(hit, kid["blk"]).alias("found"),
+            F.when(over | (hit & (F.col("level") > 0)), acc["peak"]).otherwise(F.greatest(acc["peak"], high)).alias("peak"))
+
+    state = open_.select("symbol", "s_rn", "entry_price", F.lit(0).alias("level"), "blk", "_peak")
+    done = None
+    while True:
+        start = F.struct(F.lit(None).cast("long").alias("found"), F.col("_peak").alias("peak"))
+        seen = (state.withColumn("parent", F.floor(F.col("blk") / FANOUT)).join(tree, ["level", "symbol", "parent"], "left")
+                .withColumn("r", F.aggregate(F.coalesce("kids", F.array().cast(dict(tree.dtypes)["kids"])), start, step)))
+        found, level = F.col("r.found"), F.col("level")
+        over = (found.isNotNull() & (level == 0)) | (found.isNull() & (level == top))
+        moved = materialize(seen.select(
+            "symbol", "s_rn", "entry_price", over.alias("over"),
+            F.when(found.isNotNull(), level - 1).otherwise(level + 1).alias("level"),
+            F.when(over, found).when(found.isNotNull(), found * FANOUT).otherwise(F.col("parent") + 1).alias("blk"),
+            F.col("r.peak").alias("_peak")), "search")
+        ended = moved.where("over").select("symbol", "s_rn", F.col("blk").alias("exit_pos"), "_peak")
+        done = ended if done is None else done.unionByName(ended)
+        state = moved.where("not over").drop("over")
+        if state.isEmpty():
+            return done
+
+
+def _late_exits(ticks: DataFrame, unresolved: DataFrame, sigs: DataFrame, horizon: int, rules: ExitRules, price: str,
+                det: str | None, per: str | None, last_rn: DataFrame, last: int) -> DataFrame:
+    """Exits behind the band for the signals that the band left open."""
+    open_ = unresolved.join(sigs.select("symbol", "s_rn", "entry_price"), ["symbol", "s_rn"]).withColumn("blk", F.col("s_rn") + horizon + 1)
+    found = _search(open_, _summary_tree(ticks, rules, price, det, per, last), rules, last)
+    at = found.join(last_rn, "symbol").select("symbol", "s_rn", "_peak", F.coalesce("exit_pos", "_sym_last").alias("rn"), F.col("exit_pos").isNull().alias("_end"))
+    at = at.join(sigs.select("symbol", "s_rn", "entry_price"), ["symbol", "s_rn"])
+    cols = [F.col(c).alias(a) for c, a in ((det, "_det"), (per, "_per")) if c]
+    at = at.join(ticks.select("symbol", "rn", F.col(price).alias("_px"), "event_time", *cols), ["symbol", "rn"])
+    at = at.withColumn("_ret", F.try_divide(F.col("_px") - F.col("entry_price"), F.col("entry_price")))
+    reason = _reason(rules, F.col("_ret"), F.greatest("_peak", "_ret"), F.col("rn") - F.col("s_rn"),
+                     F.col("_det") if det else None, F.col("_per") if per else None)
+    at = at.withColumn("_reason", F.when(F.col("_end"), F.lit("END_OF_DATA")).otherwise(reason))
+    return at.select("symbol", "s_rn", _exit_row("_det" if det else None, "_per" if per else None).alias("_x"))
 
 
 def _count_inside(ticks: DataFrame, trades: DataFrame, signal: str, rules: ExitRules, horizon_col="exit_pos") -> DataFrame:
@@ -173,40 +271,35 @@ def signal_exits(
     per: str | None = None,
     model_id: str = "model",
     layout: str | None = None,
-    max_rounds: int = 12,
 ) -> DataFrame:
     """T1 (``rules.mode="independent"``) and the per-signal exits used by T2/T3.
 
     ``ticks`` are scored ticks; ``signal`` marks entries. Returns one row per signal in the
-    ``trades`` layout (plus ``s_rn``). Independent rules resolve inside ``max_hold``; the other
-    modes widen the band 4x per round for unresolved signals only.
+    ``trades`` layout (plus ``s_rn``). Independent rules resolve inside ``max_hold``; for the other
+    modes the signals still open behind it go on in a barrier search that ends only when every
+    signal has its exit (END_OF_DATA at the last tick).
     """
     ticks = positioned(ticks, layout)
     if isinstance(signal, Column):
         ticks = ticks.withColumn("_signal", F.coalesce(signal, F.lit(False)))
         signal = "_signal"
     last_rn = ticks.groupBy("symbol").agg(F.max("rn").alias("_sym_last"))
-    last_rn = F.broadcast(last_rn)
     sigs = ticks.where(F.col(signal)).select(
         "symbol", F.col("rn").alias("s_rn"), F.col(price).alias("entry_price"), F.col("event_time").alias("entry_time"),
         (F.col(det) if det else F.lit(None).cast("double")).alias("entry_det_prob"),
         (F.col(per) if per else F.lit(None).cast("double")).alias("entry_per_prob"),
     )
-    horizon = rules.max_hold if rules.mode == "independent" else max(rules.max_hold, 1)
-    pending = sigs
-    done = None
-    for _ in range(max_rounds):
-        exits = _band_exits(ticks, pending, horizon, rules, price, det, per, signal, last_rn)
-        resolved = exits.where(F.col("_x").isNotNull())
-        done = resolved if done is None else done.unionByName(resolved)
-        if rules.mode == "independent":
-            break
-        unresolved = exits.where(F.col("_x").isNull()).select("symbol", "s_rn")
-        unresolved = materialize(unresolved, "unresolved")
-        if unresolved.isEmpty():
-            break
-        pending = sigs.join(unresolved, ["symbol", "s_rn"], "left_semi")
-        horizon *= 4
+    horizon = max(rules.max_hold, 1)
+    exits = _band_exits(ticks, sigs, rules.max_hold if rules.mode == "independent" else horizon, rules, price, det, per, last_rn)
+    if rules.mode == "independent":
+        done = exits.where(F.col("_x").isNotNull()).drop("_peak")
+    else:
+        exits = materialize(exits, "band-exits")
+        done = exits.where(F.col("_x").isNotNull()).drop("_peak")
+        unresolved = exits.where(F.col("_x").isNull()).select("symbol", "s_rn", "_peak")
+        last = ticks.agg(F.max("rn")).first()[0]
+        if not unresolved.isEmpty():
+            done = done.unionByName(_late_exits(ticks, unresolved, sigs, horizon, rules, price, det, per, last_rn, last))
     out = sigs.join(done, ["symbol", "s_rn"])
     return out.select(
         F.lit(model_id).alias("model_id"), "symbol", "s_rn",
@@ -233,7 +326,7 @@ def peak_path(ticks: DataFrame, signal: str = "signal", horizon: int = 30, price
     tk = ticks.select("symbol", "rn", F.col(price).alias("_px"), F.floor(F.col("rn") / F.lit(b)).alias("_bkt"))
     band = sig.join(tk, ["symbol", "_bkt"]).where((F.col("rn") >= F.col("s_rn")) & (F.col("rn") <= F.col("s_rn") + horizon))
     w = Window.partitionBy("symbol", "s_rn").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
-    ret = (F.col("_px") - F.col("entry_price")) / F.col("entry_price")
+    ret = F.try_divide(F.col("_px") - F.col("entry_price"), F.col("entry_price"))
     return band.select("symbol", "s_rn", "rn", ret.alias("ret")).withColumn("peak", F.max("ret").over(w))
 
 

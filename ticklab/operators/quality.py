@@ -94,7 +94,7 @@ def jump_filter(df: DataFrame, max_move: float = 0.5, price: str = "bid_price",
     from ticklab.operators.layout import run_series
 
     def compute(frame, w):
-        return frame.withColumn("_move", F.abs(F.col(price) / F.lag(price, 1).over(window or w) - F.lit(1.0)))
+        return frame.withColumn("_move", F.abs(F.try_divide(F.col(price), F.lag(price, 1).over(window or w)) - F.lit(1.0)))
 
     had_rn = "rn" in df.columns
     out = run_series(df, compute, before=1, after=0).where(F.col("_move") < max_move).drop("_move")

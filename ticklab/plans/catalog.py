@@ -17,7 +17,7 @@ from ticklab.operators.layout import run_series, with_positions
 from ticklab.operators.outcomes import ExitRules, peak_path, positioned, signal_exits
 from ticklab.operators.scoring import RULE_SCORES_SQL, rule_scores
 from ticklab.session import materialize
-from ticklab.schema import FEATURES, PERSIST_AHEAD, PERSIST_FACTOR, REQUIRED_COLUMNS
+from ticklab.schema import FEATURES, PERSIST_AHEAD, PERSIST_FACTOR, REQUIRED_COLUMNS, ZERO_CHECK_COLUMNS
 from ticklab.sources.incremental import current_snapshot, high_water_mark, read_since
 from ticklab.sources.ticks import TICK_VIEW_SQL, load_ticks
 
@@ -208,12 +208,12 @@ def _mark(df, days):
 
 def s4_read_since(spark, d):
     t = _ticks(spark, d)
-    return read_since(t, _mark(t, 2), 1000).select("tick_id", "symbol", "event_time")
+    return read_since(t, _mark(t, 2)).select("tick_id", "symbol", "event_time")
 
 
 def a4_high_water_mark(spark, d):
     t = _ticks(spark, d)
-    return high_water_mark(read_since(t, _mark(t, 2), 1000))
+    return high_water_mark(read_since(t, _mark(t, 2)))
 
 
 def o6_poll_batch(spark, d):
@@ -643,11 +643,10 @@ ORACLE = {
   WHEN tick_id % 59 = 0 THEN '' WHEN tick_id % 61 = 0 THEN NULL ELSE symbol END AS symbol FROM ticks) s
   WHERE symbol IS NOT NULL AND symbol <> '' AND symbol <> 'UNKNOWN'""",
     "s4_read_since": _with(*BASE) + """SELECT tick_id, symbol, event_time FROM ticks
-  WHERE bid_price > 0 AND ask_price > 0 AND event_time > (SELECT max(event_time) - INTERVAL 2 DAY FROM ticks)
-  ORDER BY event_time, tick_id LIMIT 1000""",
+  WHERE bid_price > 0 AND ask_price > 0 AND event_time > (SELECT max(event_time) - INTERVAL 2 DAY FROM ticks)""",
     "a4_high_water_mark": _with(*BASE) + """SELECT count(*) AS n_rows, max(event_time) AS new_mark FROM (
   SELECT tick_id, event_time FROM ticks WHERE bid_price > 0 AND ask_price > 0
-    AND event_time > (SELECT max(event_time) - INTERVAL 2 DAY FROM ticks) ORDER BY event_time, tick_id LIMIT 1000) b""",
+    AND event_time > (SELECT max(event_time) - INTERVAL 2 DAY FROM ticks)) b""",
     "o6_poll_batch": _with(*BASE) + """SELECT tick_id, symbol, event_time FROM ticks
   WHERE bid_price > 0 AND ask_price > 0 AND event_time > (SELECT max(event_time) - INTERVAL 1 DAY FROM ticks)
   ORDER BY event_time, tick_id LIMIT 100""",
@@ -782,3 +781,50 @@ ORACLE["c2_winners"] = _with(*MODEL_TRADES, SUMMARY_SQL, REASONS_SQL, METRIC_LON
 ORACLE["c3_recommendation"] = _with(*MODEL_TRADES, SUMMARY_SQL, REASONS_SQL, METRIC_LONG_SQL) + """SELECT value_a AS ev_a, value_b AS ev_b,
   CASE WHEN value_a > value_b * 1.1e0 THEN 'rule_two' WHEN value_b > value_a * 1.1e0 THEN 'rule_one' ELSE 'either' END AS recommended
   FROM sbs WHERE metric = 'expected_value'"""
+
+
+# ---- T2/T3: every later tick of the symbol per signal, then the walk as a recursive CTE
+def _walk_sql(live: bool) -> str:
+    if live:
+        reason = """CASE WHEN rn = s_rn THEN NULL WHEN ret >= 0.01e0 THEN 'PROFIT' WHEN ret <= -0.005e0 THEN 'STOP_LOSS'
+    WHEN x_det < 0.35e0 AND x_per < 0.25e0 AND ret < -0.002e0 THEN 'SIGNAL_LOST' END"""
+    else:
+        reason = """CASE WHEN ret >= 0.01e0 THEN (CASE WHEN ret > 0.5e0 THEN 'PROFIT_TARGET_CAPPED' ELSE 'PROFIT_TARGET' END)
+    WHEN ret <= -0.005e0 OR ret <= -0.1e0 THEN 'STOP_LOSS'
+    WHEN peak > 0.003e0 THEN (CASE WHEN ret < peak * 0.5e0 THEN 'TRAILING_STOP' END)
+    WHEN rn - s_rn >= 30 THEN 'MAX_HOLD'
+    WHEN x_det < 0.35e0 AND x_per < 0.25e0 AND ret < -0.002e0 THEN 'SIGNAL_LOST' END"""
+    after = ">= x.x_rn AND n.s_rn > x.s_rn" if live else "> x.x_rn"
+    return "WITH RECURSIVE " + ",\n".join(SCORES) + f""",
+m AS (SELECT *, (bid_price + ask_price) / 2e0 AS px FROM scored),
+sig AS (SELECT symbol, rn AS s_rn, px AS entry_price, event_time AS entry_time, det_prob AS e_det, per_prob AS e_per FROM m
+  WHERE det_prob >= 0.7e0 AND per_prob >= 0.5e0),
+path AS (SELECT s.*, t.rn, t.event_time AS x_time, t.px, t.det_prob AS x_det, t.per_prob AS x_per, (t.px - s.entry_price) / s.entry_price AS ret
+  FROM sig s JOIN m t ON t.symbol = s.symbol AND t.rn >= s.s_rn),
+peaks AS (SELECT *, max(ret) OVER (PARTITION BY symbol, s_rn ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak FROM path),
+fired AS (SELECT *, {reason} AS reason FROM peaks),
+x AS (SELECT symbol, s_rn, coalesce(min(CASE WHEN reason IS NOT NULL THEN rn END), max(rn)) AS x_rn FROM fired GROUP BY symbol, s_rn),
+nxt AS (SELECT x.symbol, x.s_rn, x.x_rn, min(n.s_rn) AS n_rn FROM x LEFT JOIN x n ON n.symbol = x.symbol AND n.s_rn {after} GROUP BY ALL),
+walk AS (SELECT symbol, min(s_rn) AS s_rn FROM x GROUP BY symbol
+  UNION ALL SELECT nxt.symbol, nxt.n_rn FROM walk JOIN nxt ON nxt.symbol = walk.symbol AND nxt.s_rn = walk.s_rn WHERE nxt.n_rn IS NOT NULL)
+SELECT 'rule_two' AS model_id, f.symbol, f.s_rn AS entry_pos, f.rn AS exit_pos, f.entry_time, f.x_time AS exit_time, f.entry_price, f.px AS exit_price,
+  f.e_det AS entry_det_prob, f.e_per AS entry_per_prob, f.x_det AS exit_det_prob, f.x_per AS exit_per_prob, f.ret * 100e0 AS return_pct,
+  CAST(f.rn - f.s_rn AS INTEGER) AS ticks_held, coalesce(f.reason, 'END_OF_DATA') AS exit_reason
+FROM walk JOIN x USING (symbol, s_rn) JOIN fired f ON f.symbol = x.symbol AND f.s_rn = x.s_rn AND f.rn = x.x_rn"""
+
+
+ORACLE["t2_trade_log"] = _walk_sql(live=False)
+ORACLE["t3_live_trades"] = _walk_sql(live=True)
+_DENSE = " + ".join(f"(CASE WHEN coalesce(abs({c}) < 1e-10, true) THEN 1 ELSE 0 END)" for c in ZERO_CHECK_COLUMNS)
+ORACLE["s2_write_roundtrip"] = _with(*BASE) + f"""SELECT *, CAST(event_time AS DATE) AS event_date FROM ticks
+  WHERE bid_price > 0 AND ask_price > 0 AND {_DENSE} < 10"""
+ORACLE["s6_sql_dump_roundtrip"] = _with(*BASE) + """SELECT * REPLACE (CASE WHEN tick_id % 7 = 0 THEN 'it''s, (a) feed'
+  WHEN tick_id % 11 = 0 THEN 'NULL' ELSE changed_by END AS changed_by) FROM ticks"""
+_SPLIT = f"""(SELECT *, CASE WHEN pos < floor(n * 0.6e0) THEN 'train' WHEN pos < floor(n * 0.8e0) THEN 'val' ELSE 'test' END AS split FROM (
+  SELECT *, row_number() OVER (ORDER BY symbol, event_time, tick_id) - 1 AS pos, count(*) OVER () AS n FROM lab WHERE {COMPLETE}) p)"""
+ORACLE["m1_training_matrix"] = _with(*LABS) + f"""SELECT tick_id, split, label_detection, label_persistence,
+  CAST({len(FEATURES)} AS INTEGER) AS n_features, round({' + '.join(FEATURES)}, 4) AS feature_sum FROM {_SPLIT} s"""
+_DENSE_BASE = (TICKS_CTE, f"valid AS (SELECT * FROM ticks WHERE bid_price > 0 AND {_DENSE} < 10)")
+ORACLE["m5_registry_round_trip"] = _with(*LABS) + f"""SELECT (SELECT count(*) FROM lab WHERE {COMPLETE}) AS n_scored, CAST(0 AS BIGINT) AS n_differ,
+  'two_score' AS kind, c.* FROM ({_with(*_DENSE_BASE, FEAT_CTE, THR_CTE, LAB_CTE)} SELECT count_if(split = 'train') AS n_train,
+  count_if(split = 'val') AS n_val, count_if(split = 'test') AS n_test FROM {_SPLIT} s) c"""

@@ -1,5 +1,5 @@
-"""Composed jobs: the flagship detection report, the trade-log queries, training (M6) and
-ingest round trips. Queries here have no SQL twin (rows-only check by the driver)."""
+"""Composed jobs: the flagship detection report, the trade-log queries, training (M6),
+ingest round trips and streaming replays."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ticklab.operators import quality
 from ticklab.operators.labels import labelled_ticks
-from ticklab.operators.layout import with_positions
 from ticklab.operators.outcomes import BACKTEST, LIVE, positioned, trade_log
 from ticklab.operators.evaluate import entry_signal
 from ticklab.operators.scoring import rule_scores
@@ -102,21 +101,69 @@ def write_results(root: str, run_id: str, **tables: DataFrame) -> dict[str, str]
     return paths
 
 
-def m6_retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered form of M6 (small forest so the check stays quick); returns the metric table."""
+RECENT_DAYS = 3  # fixed value: the retrain window
+
+
+def job_params(spark: SparkSession):
+    """Model settings of the registered jobs: ``spark.ticklab.gbt.maxIter`` trees (session setting, 20 if
+    unset; the library default of GBTParams is 200), all else as GBTParams."""
     from ticklab.ml.models import GBTParams
 
-    root = shared_folder(spark, "ticklab-registry")
-    _, table = train_job(spark, load_ticks(spark, sf_dir), root, recent=None, params=GBTParams(max_iter=5))
+    return GBTParams(max_iter=int(spark.conf.get("spark.ticklab.gbt.maxIter", "20")))
+
+
+def job_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one run of a job, so runs and jobs do not read each other's tables."""
+    import uuid
+
+    return shared_folder(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def m6_retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 on the recent window; returns the metric table."""
+    _, table = train_job(spark, load_ticks(spark, sf_dir), job_folder(spark, "m6"), recent=RECENT_DAYS, params=job_params(spark))
     return table
 
 
+def m1_training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: the training matrix: one row per complete tick with its split, labels and feature vector's size
+    and sum (the vector as the models see it)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ticklab.ml.models import assembler
+    from ticklab.operators.ordering import global_positions, positional_split
+
+    lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
+    split = positional_split(global_positions(quality.complete_cases(lab).drop("rn")))
+    x = vector_to_array(F.col("features"))
+    total = F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+    return assembler().transform(split).select("tick_id", "split", "label_detection", "label_persistence",
+                                               F.size(x).alias("n_features"), F.round(total, 4).alias("feature_sum"))
+
+
+def m5_registry_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + M5: split sizes in the registry row, and rows whose scores differ between the trained model and
+    the one loaded back (none)."""
+    from ticklab.ml import models as ml
+
+    root = job_folder(spark, "m5")
+    model, _ = train_job(spark, load_ticks(spark, sf_dir), root, params=job_params(spark))
+    loaded = ml.load(spark, root, kind="two_score")
+    lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
+    cols = ["tick_id", "det_prob", "per_prob"]
+    both = ml.score(model, lab).select(*cols).alias("a").join(ml.score(loaded, lab).select(*cols).alias("b"), "tick_id")
+    differ = ~(F.col("a.det_prob").eqNullSafe(F.col("b.det_prob")) & F.col("a.per_prob").eqNullSafe(F.col("b.per_prob")))
+    row = ml.registry(spark, root).where(F.col("model_id") == loaded.model_id)
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(differ).alias("n_differ")).join(
+        row.select("kind", "n_train", "n_val", "n_test"))
+
+
 def m4_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + M4 + M5 round trip: train a one-score model, publish, load it back, score all rows."""
     from ticklab.ml import models as ml
 
-    root = shared_folder(spark, "ticklab-registry")
-    model, _ = train_job(spark, load_ticks(spark, sf_dir), root, kind="one_score", params=ml.GBTParams(max_iter=5))
+    root = job_folder(spark, "m4")
+    model, _ = train_job(spark, load_ticks(spark, sf_dir), root, kind="one_score", params=job_params(spark))
     loaded = ml.load(spark, root, model_id=model.model_id)
     lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
     return ml.score(loaded, lab).select("symbol", "tick_id", "det_prob", "per_prob", "det_pred", "per_pred", "model_id")
@@ -139,8 +186,7 @@ def s6_sql_dump_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s2_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned ticks written partitioned by day, read back with partition pruning on the
-    last three days."""
+    """Cleaned ticks written partitioned by day and read back, every row."""
     import uuid
 
     from ticklab.sources.ticks import write_ticks
@@ -148,9 +194,7 @@ def s2_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, f"ticks-{uuid.uuid4().hex[:8]}")
     clean = quality.zero_density_filter(quality.valid_quote(load_ticks(spark, sf_dir), require_ask=True))
     write_ticks(clean, path)
-    back = spark.read.parquet(path)
-    last_days = back.agg(F.date_sub(F.max("event_date"), 3)).scalar()
-    return back.where(F.col("event_date") >= last_days)
+    return spark.read.parquet(path)
 
 
 def replay_folder(spark: SparkSession, ticks: DataFrame, name: str, n_files: int = 3) -> str:
@@ -221,11 +265,10 @@ def r5_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 + M7: micro-batches scored by the newest registered model, written per batch id."""
-    from ticklab.ml.models import GBTParams
     from ticklab.streaming.live import dedupe_late, score_batches, stream_features, tick_stream
 
-    registry = shared_folder(spark, "ticklab-registry")
-    train_job(spark, load_ticks(spark, sf_dir), registry, params=GBTParams(max_iter=3))
+    registry = job_folder(spark, "r3")
+    train_job(spark, load_ticks(spark, sf_dir), registry, params=job_params(spark))
     src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
     root = src.rsplit("/in", 1)[0]
     feats = stream_features(dedupe_late(tick_stream(spark, src)))
@@ -234,7 +277,7 @@ def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/scored")
 
 
-def compare_trained_models(spark: SparkSession, sf_dir: str, max_iter: int = 5) -> DataFrame:
+def compare_trained_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C1 on trained models: a one-score and a two-score model are trained on the train split,
     both score the held-out rows, each runs the non-overlapping backtest (T2 rules, its own entry
     rule: one score >= 0.85, two scores >= 0.7 / 0.5) and the metrics are put side by side."""
@@ -246,7 +289,7 @@ def compare_trained_models(spark: SparkSession, sf_dir: str, max_iter: int = 5)
     split = materialize(positional_split(global_positions(quality.complete_cases(lab).drop("rn"))), "split")
     train = split.where(F.col("split") == "train")
     held_out = split.where(F.col("split") != "train").drop("pos", "n_total")
-    params = ml.GBTParams(max_iter=max_iter)
+    params = job_params(spark)
     logs = []
     for kind, rule, per in (("one_score", entry_signal("det_prob", None, 0.85), None),
                             ("two_score", entry_signal("det_prob", "per_prob", 0.7, 0.5), "per_prob")):
@@ -254,11 +297,14 @@ def compare_trained_models(spark: SparkSession, sf_dir: str, max_iter: int = 5)
         scored = ml.score(model, held_out).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
         scored = positioned(materialize(scored, f"scored_{kind}"))
         logs.append(trade_log(scored, rule, BACKTEST, price="mid_price", det="det_prob", per=per, model_id=kind))
-    trades = materialize(logs[0].unionByName(logs[1]), "trained_trades")
+    root = job_folder(spark, "c1")
+    trades = spark.read.parquet(write_results(root, "c1", trades=logs[0].unionByName(logs[1]))["trades"])  # S8
     return side_by_side(trades, "two_score", "one_score")
 
 
 EXTRA_QUERIES = {
+    "m1_training_matrix": m1_training_matrix,
+    "m5_registry_round_trip": m5_registry_round_trip,
     "c1_trained_models": compare_trained_models,
     "r2_stream_features": r2_stream_features,
     "r3_score_stream": r3_score_stream,

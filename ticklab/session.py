@@ -40,13 +40,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder is created.
+    A cluster has to name it; only a local session (tests) gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ticklab-ckpt-")
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        # local mode only: driver and executors are one process there
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="ticklab-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 

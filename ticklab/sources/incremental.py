@@ -10,8 +10,8 @@ from ticklab.operators.ordering import first_n_after
 from ticklab.operators.quality import valid_quote
 
 
-def read_since(df: DataFrame, since, limit: int | None = 1000, column: str = "event_time") -> DataFrame:
-    """Valid quotes strictly after the mark, oldest first, at most ``limit`` rows.
+def read_since(df: DataFrame, since, limit: int | None = None, column: str = "event_time") -> DataFrame:
+    """Valid quotes strictly after the mark; with ``limit`` (a poll batch) the oldest so many, in order.
 
     ``since`` is a literal, a Column, or a one-row DataFrame with a ``mark`` column (used as a
     scalar subquery). Either way the comparison reaches the parquet scan."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticklab.operators.quality import coerce_ticks
 from ticklab.schema import TICK_COLUMNS
@@ -62,17 +63,24 @@ def jdbc_options(url: str, table: str = "assets_history", driver: str | None = N
     return opts
 
 
+def source_table(table: str = "assets_history") -> str:
+    """The slice source for predicate reads, with the source's own column names (the predicates use them)."""
+    return f"(SELECT {', '.join(SOURCE_COLUMNS)} FROM {table}) AS ticks"
+
+
 def read_jdbc_ticks(spark: SparkSession, url: str, table: str = "assets_history", predicates: list[str] | None = None,
-                    id_bounds: tuple[int, int] | None = None, num_partitions: int = 64, **conn) -> DataFrame:
-    """Partitioned read: by explicit predicates (e.g. ``day_predicates``) or by id range."""
-    props = {k: str(v) for k, v in conn.items() if v is not None}
-    props["fetchsize"] = props.get("fetchsize", "10000")
+                    id_bounds: tuple[int, int] | None = None, num_partitions: int = 64, driver: str | None = None,
+                    user: str | None = None, password: str | None = None, fetch_size: int = 10000) -> DataFrame:
+    """Partitioned read: by explicit predicates over the source's columns (``day_predicates``), one task
+    each, or by an id range. One of the two is required: a read without either is one task."""
+    opts = jdbc_options(url, table, driver, user, password, fetch_size)
     if predicates:
-        raw = spark.read.jdbc(url, f"(SELECT {select_list()} FROM {table}) AS t", predicates=predicates, properties=props)
+        props = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+        raw = spark.read.jdbc(url, source_table(table), predicates=predicates, properties=props)
+        raw = raw.select([F.col(src).alias(ours) for src, (ours, _) in zip(SOURCE_COLUMNS, TICK_COLUMNS)])
+    elif id_bounds:
+        raw = spark.read.format("jdbc").options(**opts).options(
+            partitionColumn="tick_id", lowerBound=str(id_bounds[0]), upperBound=str(id_bounds[1]), numPartitions=str(num_partitions)).load()
     else:
-        reader = spark.read.format("jdbc").options(**jdbc_options(url, table, **conn))
-        if id_bounds:
-            reader = reader.options(partitionColumn="tick_id", lowerBound=str(id_bounds[0]),
-                                    upperBound=str(id_bounds[1]), numPartitions=str(num_partitions))
-        raw = reader.load()
+        raise ValueError("predicates or id_bounds are required")
     return coerce_ticks(raw.select([raw[c].cast("string").alias(c) for c in raw.columns]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklab.functions.exprs import nan_to_null
 from ticklab.schema import TICKS, TICKS_RAW
 
 
@@ -26,8 +27,13 @@ def read_ticks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         )
         return coerce_ticks(raw)
     if fmt == "parquet":
-        return spark.read.schema(TICKS).parquet(path)
-    return spark.read.format(fmt).schema(TICKS).load(path)
+        return _numbers(spark.read.schema(TICKS).parquet(path))
+    return _numbers(spark.read.format(fmt).schema(TICKS).load(path))
+
+
+def _numbers(ticks: DataFrame) -> DataFrame:
+    """NaN to NULL in every double column: NaN compares above all numbers and would pass filters."""
+    return ticks.withColumns({f.name: nan_to_null(F.col(f.name)) for f in TICKS.fields if f.dataType.simpleString() == "double"})
 
 
 def write_ticks(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -63,7 +69,7 @@ def ticks_from_events(events: DataFrame) -> DataFrame:
     event_id % 97 = 0 are sparse: ten of the twelve zero-check columns are 0 or NULL.
     """
     eid = F.col("event_id")
-    value = F.col("value")
+    value = nan_to_null(F.col("value"))
     sparse = eid % 97 == 0
     null = F.lit(None).cast("double")
 
