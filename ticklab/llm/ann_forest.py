@@ -167,13 +167,14 @@ def _scorer(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 5, trees: int = 8, per_leaf: int = 200, recall: float = 0.95, probes: int = 100,
+def nearest(vectors: DataFrame, is_query, k: int = 5, trees: int = 8, per_leaf: int | None = None, recall: float = 0.95, probes: int = 100,
             sample: int = SAMPLE, search_k: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row where the column ``is_query`` holds.
 
     ``search_k``: entries a query visits; None measures it: ``probes`` queries are solved by brute force
     over all rows, and search_k becomes the visits that find ``recall`` of their neighbours. Trees have
-    about ``per_leaf`` entries a leaf, but at least 8 sample vectors. Bounds: the forest holds at most
+    about ``per_leaf`` entries a leaf, but at least 8 sample vectors; None: twice the square root of the
+    number of entries, so that the leaves a query visits and the entries in one grow at the same pace. Bounds: the forest holds at most
     trees x sample/8 directions; it and the probes are all that passes through the driver.
     Defined cases: vectors that are null, of zero length, or hold a null or non-finite component take no
     part, nor do vectors of another dimension than the most frequent (ties: the smaller); null ids take no
@@ -198,6 +199,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, trees: int = 8, per_leaf:
     n = entries.count()
     picked = entries.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("vec").toPandas()["vec"]
     shared = spark.sparkContext.broadcast(_unit(picked))
+    per_leaf = per_leaf or max(64, round(2 * n**0.5))
     leaf = max(8, min(len(picked), round(len(picked) * per_leaf / n)))
     grown = (spark.range(trees).groupBy("id").applyInPandas(_grower(shared, leaf), "id long, normals binary, cuts binary, kids binary, leaves int, root int"))
     forest_ = [_tree(r, dims["dim"]) for r in sorted(grown.collect(), key=lambda r: r["id"])]
