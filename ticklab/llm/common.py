@@ -1,10 +1,10 @@
-"""Small helpers shared by the operators: staged tables, whole-row ids, XXH-free constants."""
+"""Small helpers shared by the operators: staged tables, bounded samples, fixed character sets."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklab.session import ensure_checkpoint_dir
@@ -43,3 +43,16 @@ def lower_ascii(col):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lowest_hashes(rows: DataFrame, kinds: list[str], hash_col: str, tie_col: str, per_kind: int) -> tuple[DataFrame, DataFrame]:
+    """(sample, sizes): of every combination of ``kinds`` the ``per_kind`` rows of lowest ``hash_col``, and the
+    rows it has (column size). ``hash_col`` is a long over its whole range. A row whose hash lies far above
+    its share is left out before the shuffle, so a frequent kind sends about 2 x per_kind rows to its task
+    however many it has."""
+    sizes = staged(rows.groupBy(*kinds).agg(F.count(F.lit(1)).alias("size")), "kind-sizes")
+    share = F.least(F.lit(1.0), 2.0 * per_kind / F.col("size"))
+    place = (F.col(hash_col).cast("double") / 2.0**63 + 1) / 2  # 0 to 1
+    near = rows.join(sizes, kinds).where(place <= share)
+    first = Window.partitionBy(*kinds).orderBy(hash_col, tie_col)
+    return near.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_kind).drop("r", "size"), sizes

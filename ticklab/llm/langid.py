@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import staged
+from ticklab.llm.common import lowest_hashes, staged
 from ticklab.llm.pretokens import LETTER, classes, code_points
 
 BUCKETS = 1 << 14
@@ -151,8 +151,8 @@ def train(labelled: DataFrame, per_class: int = PER_CLASS) -> dict | None:
     idf = (np.log((1 + freq[BUCKETS]) / (1 + freq[:BUCKETS])) + 1).astype(np.float32)
     # a text's hash orders the sample: neither ids nor file order matter
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    pick = rows.select("label", "hash").distinct().withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("hash"))).where(F.col("r") <= per_class)
-    sample = rows.join(staged(pick.select("label", "hash"), "langid-sample"), ["label", "hash"], "left_semi").dropDuplicates(["label", "hash"])
+    pick, _ = lowest_hashes(rows.select("label", "hash").distinct(), ["label"], "hash", "hash", per_class)
+    sample = rows.join(staged(pick, "langid-sample"), ["label", "hash"], "left_semi").dropDuplicates(["label", "hash"])
     feats = staged(sample.mapInArrow(_features, "label string, hash long, at binary, tf binary"), "langid-features")
     fitted = feats.groupBy().applyInPandas(_trainer(idf), "langs array<string>, weights binary, temperature double").collect()
     if not fitted:

@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import staged
+from ticklab.llm.common import lowest_hashes, staged
 from ticklab.llm.pretokens import LETTER, classes, code_points
 
 PER_KIND = 3000
@@ -187,10 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     """
     known = labels.select("doc_id", *[F.col(c).cast("int").alias(c) for c in categories]).dropna()
     known = known.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories])
-    kind = Window.partitionBy(*categories)
-    sizes = known.groupBy(*categories).agg(F.count(F.lit(1)).alias("size"))  # at most 2^categories rows
-    pick = (known.withColumn("r", F.row_number().over(kind.orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("r") <= per_kind)
-            .join(F.broadcast(sizes), categories).withColumn("weight", F.greatest(F.lit(1.0), F.col("size") / per_kind)).drop("r", "size"))
+    pick, sizes = lowest_hashes(known.withColumn("h", F.xxhash64("doc_id")), categories, "h", "doc_id", per_kind)
+    pick = pick.join(sizes, categories).withColumn("weight", F.greatest(F.lit(1.0), F.col("size") / per_kind)).drop("h", "size")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # at most per_kind x 2^categories ids: bounded, so the texts stay where they are
     sample = texts.join(F.broadcast(staged(pick, "toxicity-sample")), "doc_id").dropDuplicates(["doc_id"])
