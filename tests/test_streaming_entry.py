@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, make_ticks
 from ticklab.operators import quality
 from ticklab.operators.evaluate import entry_signal
 from ticklab.operators.features import add_features
@@ -80,6 +80,71 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "props" not in info.get("ReadSchema", "") and "event_id" in info.get("ReadSchema", "")
 
 
+def test_tick_reads_push_filters_and_prune_days(spark, tmp_path):
+    from ticklab.sources.ticks import read_ticks, write_ticks
+
+    path = str(tmp_path / "ticks")
+    write_ticks(load_ticks(spark, SF001), path)
+    recent = quality.valid_quote(spark.read.parquet(path)).where(F.col("event_date") >= "2024-01-20").select("tick_id", "bid_price")
+    info = scan_info(recent)
+    assert "bid_price" in info["PushedFilters"] and "event_date" in info["PartitionFilters"]
+    assert "last_price_weight" not in info["ReadSchema"]
+    scan = scan_info(quality.valid_quote(read_ticks(spark, path)).select("tick_id", "bid_price"))
+    assert "last_price_weight" not in scan["ReadSchema"] and "tick_id" in scan["ReadSchema"]
+
+
+def _replay(spark, tmp_path, batches, name, **kwargs):
+    src, out = tmp_path / f"{name}-in", str(tmp_path / f"{name}-out")
+    src.mkdir()
+    for i, b in enumerate(batches):
+        b.coalesce(1).write.parquet(str(tmp_path / f"{name}-{i}"))
+        shutil.copy(glob.glob(str(tmp_path / f"{name}-{i}" / "*.parquet"))[0], src / f"{i:03d}.parquet")
+        time.sleep(1.1)
+    q = (stream_features(dedupe_late(tick_stream(spark, str(src), 1), "1 day"), **kwargs).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", out + "-ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _live_ticks(spark, n=90):
+    rows = [{"symbol": "S", "tick_id": i, "event_time": 600 * i, "bid_price": 100.0 + (i * 7) % 13, "ticket_count": 6.0 + i % 9,
+             "last_price_weight": i % 5 / 10} for i in range(n)]
+    return make_ticks(spark, rows).withColumn("ask_price", F.col("bid_price") + 1)
+
+
+def test_late_tick_gives_batch_values(spark, tmp_path):
+    t = _live_ticks(spark)
+    t = t.withColumn("ask_size", F.when(F.col("tick_id") == 60, F.lit(None).cast("double")).otherwise(F.col("ask_size")))  # P4: counts as 0
+    batch = {r.tick_id: r for r in add_features(quality.ensure_required(t), nulls="zero", layout="symbol").where("rn >= 49").collect()}
+    late = F.col("tick_id") == 55  # arrives one file late, inside the watermark
+    far = make_ticks(spark, [{"symbol": "S", "tick_id": 1000, "event_time": 10**7, "bid_price": 100.0}])
+    parts = [t.where((F.col("tick_id") < 70) & ~late), t.where((F.col("tick_id") >= 70) | late), far, far.withColumn("tick_id", F.lit(1001).cast("long"))]
+    held = {r.tick_id: r for r in _replay(spark, tmp_path, parts, "held", ordered=True).collect()}
+    assert set(batch) <= set(held)
+    for i, b in batch.items():
+        assert all(abs(held[i][c] - b[c]) < 1e-9 for c in FEATURES) and held[i].rn == b.rn, i
+    assert held[60].bid_ask_ratio > 1e8
+    # scored at arrival: the late tick and all that come after it have the batch values, in time order
+    now = {r.tick_id: r for r in _replay(spark, tmp_path, parts[:2], "now").collect()}
+    for i in [55, *range(70, 90)]:
+        assert all(abs(now[i][c] - batch[i][c]) < 1e-9 for c in FEATURES), i
+
+
+def test_one_score_positions(spark, tmp_path):
+    rows = [("A", i, float(px), det) for i, (px, det) in enumerate([(100, 0.9), (99.9, 0.5), (99.7, 0.29), (100, 0.9), (101.2, 0.9), (100, 0.1)])]
+    df = spark.createDataFrame(rows, "symbol string, rn long, mid_price double, det_prob double").select(
+        "*", F.col("det_prob").alias("per_prob"), (F.col("det_prob") >= 0.85).alias("signal"), F.lit("m").alias("model_id"),
+        F.timestamp_seconds("rn").alias("event_time"))
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    q = (position_stream(stream, kind="one_score").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.entry_pos, r.exit_pos, r.exit_reason) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    # the live rule may enter again on the exit tick
+    assert got == [(0, 2, "SIGNAL_LOST"), (3, 4, "PROFIT"), (4, 5, "STOP_LOSS")]
+
+
 def test_driver_contract(spark):
     import __spark_entry__ as e
 

@@ -784,7 +784,7 @@ ORACLE["c3_recommendation"] = _with(*MODEL_TRADES, SUMMARY_SQL, REASONS_SQL, MET
 
 
 # ---- T2/T3: every later tick of the symbol per signal, then the walk as a recursive CTE
-def _walk_sql(live: bool) -> str:
+def _walk_sql(live: bool, scores=SCORES) -> str:
     if live:
         reason = """CASE WHEN rn = s_rn THEN NULL WHEN ret >= 0.01e0 THEN 'PROFIT' WHEN ret <= -0.005e0 THEN 'STOP_LOSS'
     WHEN x_det < 0.35e0 AND x_per < 0.25e0 AND ret < -0.002e0 THEN 'SIGNAL_LOST' END"""
@@ -795,7 +795,7 @@ def _walk_sql(live: bool) -> str:
     WHEN rn - s_rn >= 30 THEN 'MAX_HOLD'
     WHEN x_det < 0.35e0 AND x_per < 0.25e0 AND ret < -0.002e0 THEN 'SIGNAL_LOST' END"""
     after = ">= x.x_rn AND n.s_rn > x.s_rn" if live else "> x.x_rn"
-    return "WITH RECURSIVE " + ",\n".join(SCORES) + f""",
+    return "WITH RECURSIVE " + ",\n".join(scores) + f""",
 m AS (SELECT *, (bid_price + ask_price) / 2e0 AS px FROM scored),
 sig AS (SELECT symbol, rn AS s_rn, px AS entry_price, event_time AS entry_time, det_prob AS e_det, per_prob AS e_per FROM m
   WHERE det_prob >= 0.7e0 AND per_prob >= 0.5e0),
@@ -828,3 +828,18 @@ _DENSE_BASE = (TICKS_CTE, f"valid AS (SELECT * FROM ticks WHERE bid_price > 0 AN
 ORACLE["m5_registry_round_trip"] = _with(*LABS) + f"""SELECT (SELECT count(*) FROM lab WHERE {COMPLETE}) AS n_scored, CAST(0 AS BIGINT) AS n_differ,
   'two_score' AS kind, c.* FROM ({_with(*_DENSE_BASE, FEAT_CTE, THR_CTE, LAB_CTE)} SELECT count_if(split = 'train') AS n_train,
   count_if(split = 'val') AS n_val, count_if(split = 'test') AS n_test FROM {_SPLIT} s) c"""
+
+# ---- R2/R4/R5: the streams give the batch features of live quotes from the 50th tick on
+_LIVE_BASE = (TICKS_CTE, """valid AS (SELECT * REPLACE (coalesce(bid_size, 0e0) AS bid_size, coalesce(ask_size, 0e0) AS ask_size)
+  FROM ticks WHERE bid_price > 0 AND ask_price > 0 AND ticket_count > 5)""", FEAT_CTE)
+_LIVE_FEATURES = ", ".join(f"coalesce({c}, 0e0) AS {c}" for c in FEATURES)
+ORACLE["r2_stream_features"] = _with(*_LIVE_BASE) + "SELECT symbol, tick_id, event_time, rn, bid_price, ask_price, " + ", ".join(
+    f"round(coalesce({c}, 0e0), 6) AS {c}" for c in FEATURES) + " FROM feat WHERE rn >= 49"
+_LIVE_SCORES = _LIVE_BASE + (f"live AS (SELECT * REPLACE ({_LIVE_FEATURES}) FROM feat WHERE rn >= 49)",
+                             f"scored AS (SELECT *, 'rule_two' AS model_id, {RULE_SCORES_SQL} FROM live)")
+_LIVE_TRADES = f"""SELECT model_id, symbol, entry_pos, exit_pos, entry_time, exit_time, entry_price, exit_price, return_pct, exit_reason,
+  epoch_us(exit_time) / 1e6 - epoch_us(entry_time) / 1e6 AS duration_s FROM ({_walk_sql(True, _LIVE_SCORES)}) t WHERE exit_reason <> 'END_OF_DATA'"""
+ORACLE["r4_stream_positions"] = _LIVE_TRADES.replace("epoch_us(exit_time) / 1e6 - epoch_us(entry_time) / 1e6", "(epoch_us(exit_time) - epoch_us(entry_time)) / 1e6")
+ORACLE["r5_stream_stats"] = f"""SELECT model_id, count(*) AS n_trades, count_if(return_pct > 0) AS wins, count_if(return_pct <= 0) AS losses,
+  avg(CASE WHEN return_pct > 0 THEN 1e0 ELSE 0e0 END) * 100e0 AS win_rate, round(sum(return_pct), 6) AS total_return,
+  round(avg(return_pct), 6) AS avg_return FROM ({_LIVE_TRADES}) x GROUP BY model_id"""

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklab.operators import quality
+from ticklab.schema import FEATURES
 from ticklab.operators.labels import labelled_ticks
 from ticklab.operators.outcomes import BACKTEST, LIVE, positioned, trade_log
 from ticklab.operators.evaluate import entry_signal
@@ -232,35 +233,48 @@ def r2_stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
     root = src.rsplit("/in", 1)[0]
-    return _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
+    out = _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
+    return out.withColumns({c: F.round(c, 6) for c in FEATURES})
 
 
-def r4_stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2 -> rule scores -> R4 live position lifecycle, as two chained streaming queries."""
-    from ticklab.operators.evaluate import entry_signal
+def _position_folder(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """R2 -> rule scores -> R4 live position lifecycle, as two chained streaming queries; the second reads
+    the features file by file, so positions stay open across micro-batches. (root folder, closed trades)"""
     from ticklab.streaming.live import dedupe_late, position_stream, stream_features, tick_stream
 
     src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
     root = src.rsplit("/in", 1)[0]
-    _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
-    feats = spark.readStream.schema(spark.read.parquet(f"{root}/features").schema).parquet(f"{root}/features")
+    done = _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
+    feats = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/features")
     scored = rule_scores(feats).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
-    scored = scored.withColumn("signal", entry_signal())
-    return _run_to_parquet(position_stream(scored), root, "trades")
+    return root, _run_to_parquet(position_stream(scored.withColumn("signal", entry_signal())), root, "trades")
+
+
+def r4_stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _position_folder(spark, sf_dir)[1]
 
 
 def r5_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running trade statistics over the R4 trade stream (one row per model)."""
+    """Running trade statistics over the R4 trade stream, one row per model. Each micro-batch writes the
+    models it changed; the newest row of a model counts."""
+    from pyspark.sql import Window
+    from pyspark.sql.types import IntegerType
+
     from ticklab.streaming.live import running_stats
 
-    trades = r4_stream_positions(spark, sf_dir)
-    folder = trades.inputFiles()[0].rsplit("/", 1)[0]
-    stream = spark.readStream.schema(trades.schema).parquet(folder)
-    name = f"r5_{abs(hash(folder)) % 10**8}"
-    q = (running_stats(stream).writeStream.format("memory").queryName(name).outputMode("complete")
+    root, trades = _position_folder(spark, sf_dir)
+    stats = running_stats(spark.readStream.schema(trades.schema).parquet(f"{root}/trades"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/stats/batch={batch_id}")
+
+    q = (stats.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{root}/_ck_stats")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    rows = spark.read.schema(stats.schema.add("batch_id", IntegerType())).option("recursiveFileLookup", True).parquet(f"{root}/stats")
+    newest = Window.partitionBy("model_id").orderBy(F.desc("batch_id"))
+    return rows.withColumn("k", F.row_number().over(newest)).where("k = 1").drop("k", "batch_id").withColumns(
+        {c: F.round(c, 6) for c in ("total_return", "avg_return")})
 
 
 def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
