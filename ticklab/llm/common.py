@@ -56,3 +56,17 @@ def lowest_hashes(rows: DataFrame, kinds: list[str], hash_col: str, tie_col: str
     near = rows.join(sizes, kinds).where(place <= share)
     first = Window.partitionBy(*kinds).orderBy(hash_col, tie_col)
     return near.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_kind).drop("r", "size"), sizes
+
+
+def row_and_text(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    """Columns ``keep`` as a struct ``row``; a column ``text`` only where the row does not hold the text as a
+    string already (texts travel once)."""
+    row = F.struct(*keep).alias("row")
+    if text_col in keep and dict(docs.dtypes)[text_col] == "string":
+        return docs.select(row)
+    return docs.select(row, F.col(text_col).cast("string").alias("text"))
+
+
+def texts_of(batch, text_col: str):
+    """The Arrow texts of a batch of ``row_and_text``."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("row").field(text_col)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import lowest_hashes, staged
+from ticklab.llm.common import lowest_hashes, row_and_text, staged, texts_of
 from ticklab.llm.pretokens import LETTER, classes, code_points
 
 BUCKETS = 1 << 14
@@ -162,11 +162,11 @@ def train(labelled: DataFrame, per_class: int = PER_CLASS) -> dict | None:
     return {"langs": list(fitted["langs"]), "weights": w * idf[:, None], "idf": idf, "temperature": fitted["temperature"]}
 
 
-def _predictor(model: dict | None):
+def _predictor(model: dict | None, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t in b.column("text"):
+            for t in texts_of(b, text_col):
                 c = counts(t.as_py() or "")
                 if c is None or model is None:
                     out.append(("und", 0.0))
@@ -189,6 +189,6 @@ def predict(docs: DataFrame, model: dict | None, keep: list[str], text_col: str
     Defined cases: null, empty or letterless text, or no model, gives ``und`` with score 0; ties go to the
     first language in order; columns of any name only travel in ``row``; an empty table gives no rows.
     """
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = row_and_text(docs, keep, text_col)
     kind = dict(rows.dtypes)["row"]
-    return rows.mapInArrow(_predictor(model), f"row {kind}, lang_pred string, score double")
+    return rows.mapInArrow(_predictor(model, text_col), f"row {kind}, lang_pred string, score double")

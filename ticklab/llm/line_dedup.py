@@ -125,8 +125,8 @@ def _prober(min_docs: int):
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
                         min_docs: int = 5) -> DataFrame:
-    """(row, doc_id, text, n_lines, n_dropped), one row per input row: row is the input row as a struct,
-    text lacks the dropped lines.
+    """(row, doc_id, text, n_lines, n_dropped), one row per input row: row is the input row without its text
+    as a struct, text lacks the dropped lines.
 
     A key found in ``min_docs`` documents (distinct ids) or more loses all its lines except in the
     largest id that holds it. Defined cases: null or empty text is one empty line; a document that loses
@@ -135,7 +135,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     travel in ``row``; an empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    base = docs.select(F.struct(*[c for c in docs.columns if c != text_col]).alias("row"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     lines = base.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "t"))
     keyed = (lines.select("doc_id", "text_hash", "line", lower_ascii(F.btrim("t", F.lit(BLANKS))).alias("k"))
              .where(F.length("k") >= min_chars))

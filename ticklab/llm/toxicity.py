@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import lowest_hashes, staged
+from ticklab.llm.common import lowest_hashes, row_and_text, staged, texts_of
 from ticklab.llm.pretokens import LETTER, classes, code_points
 
 PER_KIND = 3000
@@ -81,7 +81,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_link(x: _Rows, extra: np.ndarray, y: np.ndarray, weight: np.ndarray, l1: float = 1e-4, l2: float = 1e-4, rounds: int = 300):
+def fit_link(x: _Rows, extra: np.ndarray, y: np.ndarray, weight: np.ndarray, l1: float = 1e-5, l2: float = 1e-5, rounds: int = 300):
     """Word weights, weights of ``extra`` (earlier probabilities) and bias of one category."""
     weight = weight / weight.sum()
     dense = np.column_stack([extra, np.ones(len(y))])
@@ -214,10 +214,10 @@ def probabilities(model: dict, text: str) -> list[float]:
     return p
 
 
-def _scorer(model: dict | None):
+def _scorer(model: dict | None, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [probabilities(model, t.as_py() or "") if model else [] for t in b.column("text")]
+            out = [probabilities(model, t.as_py() or "") if model else [] for t in texts_of(b, text_col)]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.list_(pa.float64()))], names=["row", "p"])
     return run
 
@@ -228,7 +228,7 @@ def predict(docs: DataFrame, model: dict | None, keep: list[str], text_col: str
 
     Defined cases: null or empty text is scored as a text without words; without a model both arrays are
     empty; columns of any name only travel in ``row``; an empty table gives no rows."""
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(_scorer(model), f"row {dict(rows.dtypes)['row']}, p array<double>")
+    rows = row_and_text(docs, keep, text_col)
+    out = rows.mapInArrow(_scorer(model, text_col), f"row {dict(rows.dtypes)['row']}, p array<double>")
     cuts = F.array(*[F.lit(c) for c in (model["cuts"] if model else [])]).cast("array<double>")
     return out.withColumn("rejected", F.transform("p", lambda p, i: p >= F.get(cuts, i)))
