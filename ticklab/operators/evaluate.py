@@ -51,13 +51,17 @@ def auc(df: DataFrame, groups=(), label="label", score="score", layout: str | No
     Rows collapse to one row per distinct score first (partial aggregation). The running count
     of negatives below each score is a skew-safe running sum over score positions (per-group
     window when every group fits one task, chunked otherwise)."""
-    from ticklab.operators.layout import resolve_layout, running_sum, with_positions
-
     keys = tuple(groups) or ("_all",)
     rows = df if groups else df.withColumn("_all", F.lit(0))
     by_score = rows.groupBy(*keys, score).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
+    return _auc_of_counts(by_score, keys, score, layout).select(*groups, "auc")
+
+
+def _auc_of_counts(by_score: DataFrame, keys, score: str, layout: str | None) -> DataFrame:
+    from ticklab.operators.layout import resolve_layout, running_sum, with_positions
+
     lay = resolve_layout(by_score, layout, keys)
     if lay == "symbol":
         w = Window.partitionBy(*keys).orderBy(score)
@@ -73,7 +77,7 @@ def auc(df: DataFrame, groups=(), label="label", score="score", layout: str | No
     value = F.when((F.col("_p") == 0) | (F.col("_n") == 0), F.lit(0.0)).otherwise(
         F.col("_wins") / (F.col("_p").cast("double") * F.col("_n").cast("double"))
     )
-    return agg.select(*groups, _r(value).alias("auc"))
+    return agg.select(*keys, _r(value).alias("auc"))
 
 
 def class_report(df: DataFrame, groups=(), label="label", prediction="prediction") -> DataFrame:
@@ -125,11 +129,20 @@ def log_loss(df: DataFrame, groups=(), label="label", score="score") -> DataFram
 
 
 def metrics(df: DataFrame, groups=("task", "split"), label="label", prediction="prediction", score="score") -> DataFrame:
-    """E1 + E2 + E3 for every group (task x split) in one table."""
+    """E1 + E2 + E3 for every group (task x split) in one table: the rows are counted once by score and
+    prediction; confusion and AUC both come from these counts."""
+    from ticklab.session import materialize
+
     keys = list(groups) or ["_all"]
     rows = df if groups else df.withColumn("_all", F.lit(0))
-    base = scores_from_confusion(confusion(rows, keys, label, prediction))
-    out = base.join(auc(rows, keys, label, score), keys, "left")
+    counts = materialize(rows.groupBy(*keys, F.col(score).alias("_score"), F.col(prediction).alias("_pred")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")), "score-counts")
+
+    def cell(count: str, pred: int):
+        return F.coalesce(F.sum(F.when(F.col("_pred") == pred, F.col(count))), F.lit(0)).cast("long")
+    table = counts.groupBy(*keys).agg(cell("_neg", 0).alias("tn"), cell("_neg", 1).alias("fp"), cell("_pos", 0).alias("fn"), cell("_pos", 1).alias("tp"))
+    by_score = counts.groupBy(*keys, "_score").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    out = scores_from_confusion(table).join(_auc_of_counts(by_score, tuple(keys), "_score", None), keys, "left")
     return out if groups else out.drop("_all")
 
 
