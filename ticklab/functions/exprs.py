@@ -68,11 +68,6 @@ def zero_count(columns=None) -> Column:
     return total
 
 
-def safe_ratio(num, den) -> Column:
-    """num / den, null when den is 0 or null (ANSI-safe)."""
-    return F.try_divide(col(num), col(den))
-
-
 def nan_to_null(c) -> Column:
     c = col(c)
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)

@@ -31,6 +31,7 @@ from ticklab.operators.layout import SERIES_KEYS, SERIES_ORDER, resolve_layout,
 from ticklab.session import materialize
 
 
+# The rules' numbers and, in _reason, the names of the exits.
 @dataclass
 class ExitRules:
     profit_target: float = 0.01

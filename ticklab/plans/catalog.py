@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklab.functions.exprs import mid_price
 from ticklab.operators import compare, evaluate, ordering, quality, trades
 from ticklab.operators.features import add_features, last_ticks, newest_per_symbol
 from ticklab.operators.labels import exact_quantiles, label_balance, labelled_ticks, fallback_rule
@@ -48,7 +49,7 @@ def _scored(spark, d):
 
 
 def _model_trades(spark, d) -> DataFrame:
-    scored = _scored(spark, d).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
+    scored = _scored(spark, d).withColumn("mid_price", mid_price())
     scored = positioned(scored)
     two = signal_exits(
         scored, evaluate.entry_signal("det_prob", "per_prob", 0.7, 0.5), ExitRules(), price="mid_price",

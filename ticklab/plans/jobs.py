@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklab.functions.exprs import mid_price
 from ticklab.operators import quality
 from ticklab.schema import FEATURES
 from ticklab.operators.labels import labelled_ticks
@@ -29,7 +30,7 @@ def detections_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, sf_dir)))
     scored = rule_scores(quality.complete_cases(lab)).drop("rn")
-    scored = scored.withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
+    scored = scored.withColumn("mid_price", mid_price())
     return positioned(scored)
 
 
@@ -246,7 +247,7 @@ def _position_folder(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     root = src.rsplit("/in", 1)[0]
     done = _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
     feats = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/features")
-    scored = rule_scores(feats).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
+    scored = rule_scores(feats).withColumn("mid_price", mid_price())
     return root, _run_to_parquet(position_stream(scored.withColumn("signal", entry_signal())), root, "trades")
 
 
@@ -308,7 +309,7 @@ def compare_trained_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind, rule, per in (("one_score", entry_signal("det_prob", None, 0.85), None),
                             ("two_score", entry_signal("det_prob", "per_prob", 0.7, 0.5), "per_prob")):
         model = ml.train_one_score(train, params) if kind == "one_score" else ml.train_two_score(train, params)
-        scored = ml.score(model, held_out).withColumn("mid_price", (F.col("bid_price") + F.col("ask_price")) / F.lit(2.0))
+        scored = ml.score(model, held_out).withColumn("mid_price", mid_price())
         scored = positioned(materialize(scored, f"scored_{kind}"))
         logs.append(trade_log(scored, rule, BACKTEST, price="mid_price", det="det_prob", per=per, model_id=kind))
     root = job_folder(spark, "c1")
