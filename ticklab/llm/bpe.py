@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklab.llm.common import bounded_batches
 from ticklab.llm.pretokens import split_batches
 
 BLOCK_TOKENS = 1 << 21
@@ -198,6 +199,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     ``path``: a rank file (base64 token, rank a line). Defined cases: null or empty text has no ids; ids
     and texts may repeat; a null id stays null; other columns are ignored; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shards = max(32, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     words = texts.mapInArrow(_words(shards), "block long, shard int, words binary, crc long")

@@ -70,3 +70,11 @@ def row_and_text(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
 def texts_of(batch, text_col: str):
     """The Arrow texts of a batch of ``row_and_text``."""
     return batch.column("text") if "text" in batch.schema.names else batch.column("row").field(text_col)
+
+
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Texts go to Python in Arrow batches of at most about ``size``, unless the session sets a size of its
+    own: Spark's 64 MB a batch are held several times over, by every running task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":  # fixed value: Spark's default
+        spark.conf.set(key, size)

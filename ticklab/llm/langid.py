@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import lowest_hashes, row_and_text, staged, texts_of
+from ticklab.llm.common import bounded_batches, lowest_hashes, row_and_text, staged, texts_of
 from ticklab.llm.pretokens import LETTER, classes, code_points
 
 BUCKETS = 1 << 14
@@ -142,6 +142,7 @@ def train(labelled: DataFrame, per_class: int = PER_CLASS) -> dict | None:
 
     Rows with a null label or text teach nothing. Document frequencies cover every row; the fitted sample
     has at most ``per_class`` documents a language."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("label").cast("string").alias("label")).where("text is not null and label is not null")
     df = rows.select("text").mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     if not len(df):
@@ -189,6 +190,7 @@ def predict(docs: DataFrame, model: dict | None, keep: list[str], text_col: str
     Defined cases: null, empty or letterless text, or no model, gives ``und`` with score 0; ties go to the
     first language in order; columns of any name only travel in ``row``; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     rows = row_and_text(docs, keep, text_col)
     kind = dict(rows.dtypes)["row"]
     return rows.mapInArrow(_predictor(model, text_col), f"row {kind}, lang_pred string, score double")

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ticklab.llm.bpe import gather
-from ticklab.llm.common import staged
+from ticklab.llm.common import bounded_batches, staged
 from ticklab.llm.pretokens import split_batches
 
 WORKER_PIECES = 100_000
-CACHED_WORDS = 600_000  # a worker's word cache starts afresh beyond this
+CACHED_WORDS = 250_000  # a worker's word cache starts afresh beyond this
 _JOINED = 4096
 
 
@@ -137,6 +137,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     Defined cases: null or empty text is the end id alone; repeated ids are separate documents; a null id
     stays null; other columns are ignored; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = texts.mapInArrow(_pieces(path, end_id, capacity, min_head),
                               "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tail binary")

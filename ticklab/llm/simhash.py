@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import staged
+from ticklab.llm.common import bounded_batches, staged
 from ticklab.llm.components import connected_components
 
 BITS = 64
@@ -213,6 +213,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fewer words is one shingle; a null id is never a component_id unless its whole group has no other
     (then null); repeated rows share their group; other columns are ignored; an empty table gives none.
     """
+    bounded_batches(docs.sparkSession)
     rows = staged(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                   .mapInArrow(_fingerprints(words, seed), "doc_id long, fp long"), "simhash")
     reps = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklab.llm.common import lowest_hashes, row_and_text, staged, texts_of
+from ticklab.llm.common import bounded_batches, lowest_hashes, row_and_text, staged, texts_of
 from ticklab.llm.pretokens import LETTER, classes, code_points
 
 PER_KIND = 3000
@@ -185,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     ``labels``: doc_id and one 0/1 column a category, in chain order. A document with several label rows
     has a category if any row has it; rows with a null id or a null in any category are left out.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.select("doc_id", *[F.col(c).cast("int").alias(c) for c in categories]).dropna()
     known = known.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories])
     pick, sizes = lowest_hashes(known.withColumn("h", F.xxhash64("doc_id")), categories, "h", "doc_id", per_kind)
@@ -228,6 +229,7 @@ def predict(docs: DataFrame, model: dict | None, keep: list[str], text_col: str
 
     Defined cases: null or empty text is scored as a text without words; without a model both arrays are
     empty; columns of any name only travel in ``row``; an empty table gives no rows."""
+    bounded_batches(docs.sparkSession)
     rows = row_and_text(docs, keep, text_col)
     out = rows.mapInArrow(_scorer(model, text_col), f"row {dict(rows.dtypes)['row']}, p array<double>")
     cuts = F.array(*[F.lit(c) for c in (model["cuts"] if model else [])]).cast("array<double>")
