@@ -52,7 +52,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     row = docs.select(key, F.struct("*").alias("row"))
 
     def kept(keys: DataFrame) -> DataFrame:
-        return row.join(keys, row["key"] == keys["stay"], "left_semi")
+        # a merge join at every size: the kept ids grow with the documents
+        return row.join(keys.hint("merge"), row["key"] == keys["stay"], "left_semi")
     once = kept(stays.where("count = 1"))
     return once.unionByName(kept(stays.where("count > 1")).dropDuplicates(["key"])).select("row.*")
 

@@ -160,7 +160,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     doc_id = F.when(F.col("doc_known"), F.col("doc")).alias("doc_id")
     gone = staged(gone.groupBy(doc_id, "text_hash").agg(F.collect_set("line").alias("gone")), "line-drops")  # at most a document's lines
     rows = base.withColumn("text_hash", F.xxhash64("text")).alias("d").join(
-        gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash")), "left")
+        gone.alias("g").hint("merge"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash")), "left")
     lines = F.split("d.text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
     kept = F.when(F.col("gone").isNull(), F.col("d.text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
