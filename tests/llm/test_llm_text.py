@@ -157,6 +157,24 @@ def test_packing(spark):
     assert pack(frame(spark, rows).limit(0), path).count() == 0
 
 
+def test_packing_tails_beside_heads_of_the_same_class(spark):
+    from ticklab.llm.packing import pack
+
+    # 63-token tails and 64-token heads: floor(2048 / length) is 32 for both
+    rows = [(i, "a" + " a" * (61 + i % 2)) for i in range(90)]
+    out = pack(frame(spark, rows), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert {r.doc_tokens for r in out} == {63, 64} and sum(r.length for r in out) == 45 * 63 + 45 * 64
+    sequences = defaultdict(list)
+    for r in out:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at == 32 * 63 or at & (at - 1) == 0  # a bin of tails, or a power of two
+
+
 def test_cuts_cover_every_length():
     from ticklab.llm.packing import cuts
 

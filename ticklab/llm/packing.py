@@ -2,8 +2,9 @@
 
 A document's ids (text ids, then the end id) are cut into full sequences, then powers of two down to
 ``min_head``, then a tail. Class k holds the pieces with capacity/(k+1) < length <= capacity/k, and every
-bin of class k takes exactly k pieces - for the powers of two that fills it to the last token. Workers
-(hash shares of the pieces) number their classes independently of each other.
+bin of class k takes exactly k pieces - for the powers of two that fills it to the last token. Tails are
+classes of their own, also where a power of two has the same k. Workers (hash shares of the pieces) number
+their classes independently of each other.
 
 What does not fill a bin, fewer than k pieces per worker and class, is settled without padding: left-over
 powers of two form sequences that are powers of two themselves, and left-over tails are chained and cut
@@ -147,9 +148,9 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     alone = pieces.where(single).select(*cols, (-1 - F.col("rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     workers = max(1, -(-pieces.where(~single).count() // WORKER_PIECES))
-    mine = Window.partitionBy("worker", "k")
+    mine = Window.partitionBy("worker", "k", "head")
     dealt = (pieces.where(~single).drop("rid").withColumn("worker", F.pmod(F.xxhash64("doc_id", "doc_tokens", "start", "ids_crc32"), F.lit(workers)))
-             .withColumn("k", F.floor(F.lit(capacity) / F.col("length")))
+             .withColumn("k", F.floor(F.lit(capacity) / F.col("length"))).withColumn("head", F.col("length") >= min_head)
              .withColumn("r", F.row_number().over(mine.orderBy("doc_id", "start", "ids_crc32")) - 1)
              .withColumn("left", F.count(F.lit(1)).over(mine) % F.col("k"))
              .withColumn("i", F.col("r") - (F.count(F.lit(1)).over(mine) - F.col("left")).cast("int")))
@@ -160,8 +161,9 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
         return (F.shiftleft(F.col("worker"), 38) + F.shiftleft(F.lit(kind).cast("long"), 36) + F.shiftleft(k.cast("long"), 24) + place.cast("long"))
 
     full = dealt.where("i < 0").withColumn("bin", F.floor(F.col("r") / F.col("k")))
-    before = Window.partitionBy("worker", "k", "bin").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    full = full.select(*cols, number(0, F.col("k"), F.col("bin")).alias("sequence_id"),
+    before = Window.partitionBy("worker", "k", "head", "bin").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    bin_id = F.when(F.col("head"), number(3, F.col("k"), F.col("bin"))).otherwise(number(0, F.col("k"), F.col("bin")))
+    full = full.select(*cols, bin_id.alias("sequence_id"),
                        F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
 
     def floor_bits(x, b):  # x without its bits below b; b may be a column
@@ -170,13 +172,13 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     # left-over powers of two: the binary digits of their number give the sequences
     bits = F.sequence(F.lit(0), F.lit(capacity.bit_length()))
     digit = F.array_max(F.filter(bits, lambda b: floor_bits(F.col("left"), b) > F.col("i")))
-    heads = dealt.where((F.col("i") >= 0) & (F.col("length") >= min_head)).withColumn("digit", digit)
+    heads = dealt.where((F.col("i") >= 0) & F.col("head")).withColumn("digit", digit)
     heads = heads.select(*cols, number(1, F.col("k"), F.col("digit")).alias("sequence_id"),
                          ((F.col("i") - floor_bits(F.col("left"), F.col("digit") + 1)) * F.col("length")).alias("offset"))
 
     # left-over tails: a chain per worker, cut where sequences end
     chain = Window.partitionBy("worker").orderBy("k", "r")
-    tails = (dealt.where((F.col("i") >= 0) & (F.col("length") < min_head))
+    tails = (dealt.where((F.col("i") >= 0) & ~F.col("head"))
              .withColumn("p", F.coalesce(F.sum("length").over(chain.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
              .withColumn("total", F.sum("length").over(Window.partitionBy("worker")))
              .withColumn("rest", F.col("total") % capacity).withColumn("base", F.col("total") - F.col("rest"))
