@@ -23,10 +23,10 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity probability stays below the cut that out-of-fold predictions gave."""
+    """Documents of which every category's probability stays below the cut that out-of-fold predictions gave."""
     model = toxicity.train(docs, toxicity_labels(table(spark, sf_dir, "labels")), TOXICITY)
     out = toxicity.predict(docs, model, docs.columns)
-    return out.where(~F.coalesce(F.get("rejected", F.lit(0)), F.lit(False))).select("row.*")
+    return out.where(~toxicity.any_rejected()).select("row.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,6 +126,23 @@ def test_toxicity_edge_cases(spark):
     assert predict(df, None, ["doc_id"]).where(F.size("rejected") > 0).count() == 0
 
 
+def test_any_category_rejects(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as cp
+    from ticklab.llm import toxicity
+    from ticklab.llm.queries import QUERIES, TOXICITY
+
+    vocab = np.unique(toxicity.words("scoundrel"))
+    weights = np.zeros((3, len(vocab)))
+    weights[1] = 10.0  # only the second link knows the word
+    model = {"categories": TOXICITY, "vocab": vocab, "weights": weights, "links": [[-5.0], [0.0, -5.0], [0.0, 0.0, -5.0]], "cuts": [0.5] * 3}
+    monkeypatch.setattr(toxicity, "train", lambda *a: model)
+    docs = spark.createDataFrame([(1, "you scoundrel"), (2, "plain words"), (3, None)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert {r.doc_id: r.toxic for r in QUERIES["op7_toxicity"](spark, str(tmp_path)).collect()} == {1: True, 2: False, 3: False}
+    assert {r.doc_id for r in cp.drop_toxic(spark, docs, str(tmp_path)).collect()} == {2, 3}
+
+
 def test_pipeline_edge_cases(spark):
     import corpus_pipeline as cp
 

@@ -132,13 +132,13 @@ def toxicity_labels(labels: DataFrame) -> DataFrame:
 
 @query("op7_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ticklab.llm.toxicity import predict, train
+    from ticklab.llm.toxicity import any_rejected, predict, train
 
     docs = table(spark, sf_dir, "documents")
     model = train(docs, toxicity_labels(table(spark, sf_dir, "labels")), TOXICITY)
     out = predict(docs, model, ["doc_id"])
     return out.select("row.doc_id", *[F.get("p", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(TOXICITY)],
-                      F.coalesce(F.get("rejected", F.lit(0)), F.lit(False)).alias("toxic"))
+                      any_rejected().alias("toxic"))
 
 
 # ------------------------------------------------------------------ 8 chat formatting

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklab.llm.common import bounded_batches, lowest_hashes, row_and_text, staged, texts_of
@@ -223,6 +223,11 @@ def _scorer(model: dict | None, text_col: str):
     return run
 
 
+def any_rejected() -> Column:
+    """Whether any category of the chain reaches its cut, from ``rejected`` of ``predict``; false without a model."""
+    return F.exists("rejected", lambda hit: hit)
+
+
 def predict(docs: DataFrame, model: dict | None, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep`` as a struct ``row``, p (array of probabilities in chain order) and rejected (array of
     booleans: the category's probability reaches its cut), one row per input row.
