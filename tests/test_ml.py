@@ -37,3 +37,17 @@ def test_train_save_load_score_round_trip(spark, tmp_path):
 
     preds = ml.predictions(scored, model)
     assert {r.task for r in preds.select("task").distinct().collect()} == {"detection", "persistence"}
+
+
+def test_registered_jobs_fit_the_reference_number_of_trees(spark):
+    from ticklab.plans.jobs import job_params
+
+    key = "spark.ticklab.gbt.maxIter"
+    set_before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        assert job_params(spark) == ml.GBTParams() and job_params(spark).max_iter == 200
+        spark.conf.set(key, "3")
+        assert job_params(spark) == ml.GBTParams(max_iter=3)
+    finally:
+        spark.conf.unset(key) if set_before is None else spark.conf.set(key, set_before)

@@ -107,11 +107,11 @@ RECENT_DAYS = 3  # fixed value: the retrain window
 
 
 def job_params(spark: SparkSession):
-    """Model settings of the registered jobs: ``spark.ticklab.gbt.maxIter`` trees (session setting, 20 if
-    unset; the library default of GBTParams is 200), all else as GBTParams."""
+    """Model settings of the registered jobs: GBTParams; the session setting ``spark.ticklab.gbt.maxIter``
+    replaces its number of trees."""
     from ticklab.ml.models import GBTParams
 
-    return GBTParams(max_iter=int(spark.conf.get("spark.ticklab.gbt.maxIter", "20")))
+    return GBTParams(max_iter=int(spark.conf.get("spark.ticklab.gbt.maxIter", str(GBTParams.max_iter))))
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
