@@ -59,7 +59,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 STAGES = [("toxicity", drop_toxic), ("language_id", keep_known_languages), ("line_dedup", drop_lines),

@@ -175,6 +175,22 @@ def test_packing_tails_beside_heads_of_the_same_class(spark):
         assert at == 32 * 63 or at & (at - 1) == 0  # a bin of tails, or a power of two
 
 
+def test_packing_query_gives_the_library_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from ticklab.llm.queries import QUERIES
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "a <|endoftext|> x"), (2, "<|endoftext|><|endoftext|>"), (3, "plain words"), (4, "<|endoftext|"), (5, None), (6, "word <|endoftext|>\n" * 9)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in rows}
+    out = QUERIES["op10_harmonic_packing"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} == set(want) and sum(r.length for r in out) == sum(len(x) for x in want.values())
+    for r in out:
+        x = want[r.doc_id]
+        assert r.doc_tokens == len(x) and zlib.crc32(x[r.start:r.start + r.length].tobytes()) == r.ids_crc32
+
+
 def test_cuts_cover_every_length():
     from ticklab.llm.packing import cuts
 

@@ -38,6 +38,8 @@ class WordIds:
     def __init__(self, path: str):
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
@@ -104,7 +106,7 @@ def cuts(n: int, capacity: int, min_head: int) -> list[int]:
     return out + [tail] if tail else out
 
 
-def _pieces(path: str, end_id: int, capacity: int, min_head: int):
+def _pieces(path: str, end_id: int, capacity: int, min_head: int, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = word_ids(path)
         for whole in batches:
@@ -112,12 +114,16 @@ def _pieces(path: str, end_id: int, capacity: int, min_head: int):
                 b = whole.slice(k, 512)
                 docs, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
                 rows: list[tuple] = []
-                for i, j, words, counts in split_batches(texts):
+                whole_text = {i for i, t in enumerate(texts) if added_tokens and any(a in t for a in enc.added)}
+                for i, j, words, counts in split_batches(["" if i in whole_text else t for i, t in enumerate(texts)]):
                     ids, sizes = enc.ids(words)
                     ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)] if len(words) else np.zeros(j - i, np.int64)
-                    for doc, a, z in zip(docs[i:j], [0, *ends[:-1].tolist()], ends.tolist()):
-                        data = ids[a:z].astype("<u4").tobytes() + np.array([end_id], "<u4").tobytes()
-                        at, n = 0, z - a + 1
+                    for at_text, a, z in zip(range(i, j), [0, *ends[:-1].tolist()], ends.tolist()):
+                        doc, own = docs[at_text], ids[a:z]
+                        if at_text in whole_text:  # an added token's string: the library finds where it counts
+                            own = np.array(enc.library.encode(texts[at_text], add_special_tokens=False).ids, np.uint32)
+                        data = own.astype("<u4").tobytes() + np.array([end_id], "<u4").tobytes()
+                        at, n = 0, len(own) + 1
                         for size in cuts(n, capacity, min_head):
                             part = data[4 * at:4 * (at + size)]
                             rows.append((doc, at, size, zlib.crc32(part), n, part if size < min_head else None))
@@ -129,10 +135,12 @@ def _pieces(path: str, end_id: int, capacity: int, min_head: int):
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_head: int = 64, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one row per piece.
 
     ``path``: a tokenizer file of the `tokenizers` library; capacity and min_head are powers of two.
+    ``added_tokens``: strings of the file's added tokens in a text get the tokens' ids, as the library's
+    ``encode`` does; without it they are ordinary text.
     Every sequence holds exactly ``capacity`` tokens, or a power of two, or (bins of tails) at most
     capacity and over capacity - capacity/(k+1) for class k >= capacity/min_head.
     Defined cases: null or empty text is the end id alone; repeated ids are separate documents; a null id
@@ -140,7 +148,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     """
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = texts.mapInArrow(_pieces(path, end_id, capacity, min_head),
+    pieces = texts.mapInArrow(_pieces(path, end_id, capacity, min_head, added_tokens),
                               "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tail binary")
     pieces = staged(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
     # class 1: every piece is a bin of its own, which needs no numbering within a worker

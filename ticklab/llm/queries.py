@@ -194,4 +194,4 @@ def harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from ticklab.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
