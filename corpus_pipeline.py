@@ -44,18 +44,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every SimHash group (3-word shingles, 3 bits). Rows without an id go by their
-    text and yield to any row with one; rows that repeat an id are one document, of which one row stays."""
+    """One row of every SimHash group (3-word shingles, 3 bits): that of the smallest doc_id, then of the lowest
+    hash of id and text. Rows without an id go by their text and yield to any row with one; rows that repeat id
+    and text are one document, rows that share only the id are documents of their own."""
     key = F.coalesce("doc_id", F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)).alias("key")
-    groups = simhash_groups(docs.select(key, "text"), "key", words=3, radius=3)
-    stays = staged(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("stay")).count(), "near-copies")
-    row = docs.select(key, F.struct("*").alias("row"))
-
-    def kept(keys: DataFrame) -> DataFrame:
-        # a merge join at every size: the kept ids grow with the documents
-        return row.join(keys.hint("merge"), row["key"] == keys["stay"], "left_semi")
+    mark = F.xxhash64(key, "text").alias("mark")
+    groups = simhash_groups(docs.select(mark, "text"), "mark", words=3, radius=3)
+    members = groups.groupBy(F.col("doc_id").alias("mark"), "component_id").count()
+    # merge joins at every size: marks and kept rows grow with the documents
+    named = members.join(docs.select(key, mark).distinct().hint("merge"), "mark")
+    first = named.groupBy("component_id").agg(F.min(F.struct("key", "mark", "count")).alias("first"))
+    stays = staged(first.select("first.*"), "near-copies")
+    row = docs.select(key, mark, F.struct("*").alias("row"))
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return row.join(rows.hint("merge"), ["key", "mark"], "left_semi")
     once = kept(stays.where("count = 1"))
-    return once.unionByName(kept(stays.where("count > 1")).dropDuplicates(["key"])).select("row.*")
+    return once.unionByName(kept(stays.where("count > 1")).dropDuplicates(["key", "mark"])).select("row.*")
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,6 +143,19 @@ def test_any_category_rejects(spark, tmp_path, monkeypatch):
     assert {r.doc_id for r in cp.drop_toxic(spark, docs, str(tmp_path)).collect()} == {2, 3}
 
 
+def test_near_copies_of_repeated_ids(spark):
+    import corpus_pipeline as cp
+
+    a, b = (" ".join(f"{w}{i * i}" for i in range(200)) for w in ("alpha", "beta"))
+
+    def left(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(((r.doc_id, r.text) for r in cp.drop_near_copies(spark, df, "").collect()), key=str)
+    assert left([(5, a), (7, a), (5, b), (9, b)]) == [(5, a), (5, b)]  # the id is the smallest of two groups
+    assert left([(5, a), (5, b), (3, b)]) == [(3, b), (5, a)]  # of one group only
+    assert left([(5, a), (5, a), (None, a), (None, b), (None, b)]) == [(5, a), (None, b)]
+
+
 def test_pipeline_edge_cases(spark):
     import corpus_pipeline as cp
 
