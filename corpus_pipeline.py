@@ -30,8 +30,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter whose language is recognised; learns from the labelled ones."""
+    """Documents with a letter whose language is recognised; learns from the labelled ones. If none of them
+    teaches a language, every document with a letter stays."""
     model = langid.train(docs.select("text", F.col("lang").alias("label")))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     out = langid.predict(docs, model, docs.columns)
     return out.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
 

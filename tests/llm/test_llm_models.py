@@ -156,6 +156,15 @@ def test_near_copies_of_repeated_ids(spark):
     assert left([(5, a), (5, a), (None, a), (None, b), (None, b)]) == [(5, a), (None, b)]
 
 
+def test_without_a_known_language_documents_with_a_letter_stay(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.createDataFrame([(1, "plain words", None), (2, "123 !!", None), (3, None, None), (4, "\u0441\u043b\u043e\u0432\u043e", None), (5, "", None)],
+                                 "doc_id long, text string, lang string")
+    out = cp.keep_known_languages(spark, docs, "")
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {1, 4}
+
+
 def test_pipeline_edge_cases(spark):
     import corpus_pipeline as cp
 
