@@ -165,6 +165,19 @@ def test_without_a_known_language_documents_with_a_letter_stay(spark):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {1, 4}
 
 
+def test_toxic_rows_without_quality_are_learned(spark):
+    from ticklab.llm.queries import TOXICITY, toxicity_labels
+    from ticklab.llm.toxicity import predict, train
+
+    docs = spark.createDataFrame([(i, f"plain words {'abc'[i % 3]}" if i % 4 else f"you utter scoundrel {'abc'[i % 3]}") for i in range(120)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), None) for i in range(119)] + [(119, None, 1)], "doc_id long, toxic int, quality int")
+    known = toxicity_labels(labels).dropna()
+    assert known.count() == 119 and known.where("toxic = 1 and toxic_junk = 1 and toxic_fluent = 0").count() == 30
+    out = predict(docs, train(docs, toxicity_labels(labels), TOXICITY), ["doc_id"])
+    assert {r.row.doc_id for r in out.collect() if r.rejected[0]} == {i for i in range(120) if i % 4 == 0}
+
+
 def test_pipeline_edge_cases(spark):
     import corpus_pipeline as cp
 

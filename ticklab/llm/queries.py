@@ -125,7 +125,8 @@ TOXICITY = ["toxic", "toxic_junk", "toxic_fluent"]
 
 
 def toxicity_labels(labels: DataFrame) -> DataFrame:
-    toxic, good = F.col("toxic") == 1, F.col("quality") == 1
+    """0/1 columns TOXICITY; a toxic row of unknown quality counts as toxic_junk."""
+    toxic, good = F.col("toxic") == 1, F.coalesce(F.col("quality") == 1, F.lit(False))
     return labels.select("doc_id", toxic.cast("int").alias("toxic"), (toxic & ~good).cast("int").alias("toxic_junk"),
                          (toxic & good).cast("int").alias("toxic_fluent"))
 
