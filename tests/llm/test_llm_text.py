@@ -191,6 +191,16 @@ def test_packing_query_gives_the_library_ids(spark, tmp_path):
         assert r.doc_tokens == len(x) and zlib.crc32(x[r.start:r.start + r.length].tobytes()) == r.ids_crc32
 
 
+def test_packing_spreads_repeated_rows_over_workers(spark, monkeypatch):
+    from ticklab.llm import packing
+
+    monkeypatch.setattr(packing, "WORKER_PIECES", 100)
+    rows = [(None, "a" + " a" * 62)] * 400
+    out = packing.pack(frame(spark, rows), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    workers = [r.sequence_id >> 38 for r in out]
+    assert len(out) == 400 and set(workers) == {0, 1, 2, 3} and max(workers.count(w) for w in range(4)) < 200
+
+
 def test_cuts_cover_every_length():
     from ticklab.llm.packing import cuts
 

@@ -157,7 +157,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, min_
     alone = pieces.where(single).select(*cols, (-1 - F.col("rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     workers = max(1, -(-pieces.where(~single).count() // WORKER_PIECES))
     mine = Window.partitionBy("worker", "k", "head")
-    dealt = (pieces.where(~single).drop("rid").withColumn("worker", F.pmod(F.xxhash64("doc_id", "doc_tokens", "start", "ids_crc32"), F.lit(workers)))
+    dealt = (pieces.where(~single).withColumn("worker", F.pmod(F.xxhash64("rid"), F.lit(workers))).drop("rid")
              .withColumn("k", F.floor(F.lit(capacity) / F.col("length"))).withColumn("head", F.col("length") >= min_head)
              .withColumn("r", F.row_number().over(mine.orderBy("doc_id", "start", "ids_crc32")) - 1)
              .withColumn("left", F.count(F.lit(1)).over(mine) % F.col("k"))
