@@ -196,3 +196,32 @@ def harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticklab.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
+
+
+# ------------------------------------------------------------------ 11 benchmark decontamination
+OP11_SQL = r"""
+WITH low(kind, id, name, w) AS (
+  SELECT 'd', row_number() OVER (), CAST(doc_id AS VARCHAR), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM documents
+  UNION ALL
+  SELECT 'b', row_number() OVER (), CAST(item_id AS VARCHAR), regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+sized AS (SELECT *, least(10, len(w)) AS m FROM low WHERE kind = 'b' AND len(w) > 0),
+windows AS (SELECT DISTINCT name, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS g FROM sized, unnest(range(1, len(w) - m + 2)) t(i)),
+seen AS (SELECT id, i, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS g
+         FROM low, (SELECT DISTINCT m FROM sized) s, unnest(range(1, len(w) - m + 2)) t(i) WHERE kind = 'd'),
+hits AS (SELECT id, i, seen.m, name FROM seen JOIN windows USING (m, g)),
+words AS (SELECT id, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(m)) t(k) GROUP BY id),
+named AS (SELECT id, count(DISTINCT name) AS n_items, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM hits GROUP BY id)
+SELECT CAST(low.name AS BIGINT) AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN words USING (id) LEFT JOIN named USING (id) WHERE kind = 'd'
+"""
+
+
+@query("op11_decontamination", OP11_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.decontaminate import find_items
+
+    out = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
+    return out.select("row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
