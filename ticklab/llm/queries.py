@@ -225,3 +225,72 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
     return out.select("row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+# ------------------------------------------------------------------ 13 Merkle manifest
+#: CRC-32 of a VARCHAR column in DuckDB, which has no such function: the reflected polynomial, bit by bit.
+def crc32_sql(col: str) -> str:
+    byte = "list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(c, b) & 255)"
+    return f"xor(list_reduce(list_transform(string_split({col}, ''), lambda x: unicode(x)::BIGINT), lambda c, b: xor(c >> 8, {byte}), 4294967295), 4294967295)"
+
+
+def _op13_sql(levels: int = 7) -> str:
+    """Trees of up to 8^levels leaves a language, level by level."""
+    def leaf(text: str) -> str:
+        field = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+        return "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    run = "string_agg(h, '') OVER (PARTITION BY g, p // 8 ORDER BY p ROWS BETWEEN {0} AND {1})"
+    before, after = run.format("UNBOUNDED PRECEDING", "1 PRECEDING"), run.format("1 FOLLOWING", "UNBOUNDED FOLLOWING")
+
+    def tree(name: str, at: str) -> str:
+        """name_k: nodes of level k with their left and right siblings; a finished tree's only node goes on unchanged."""
+        out = []
+        for k in range(levels + 1):
+            source = at if k == 0 else (f"SELECT g, p // 8 AS p, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h "
+                                        f"FROM {name}_{k - 1} GROUP BY g, p // 8")
+            out.append(f"{name}_{k} AS (SELECT *, CASE WHEN n > 1 THEN coalesce({before}, '') END AS l, CASE WHEN n > 1 THEN coalesce({after}, '') END AS r "
+                       f"FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM ({source})))")
+        return ",\n".join(out)
+
+    def folded(name: str, src: str, into: str) -> str:
+        """Each row's fold and proof through the levels: columns f (folded) and s (siblings so far)."""
+        sql = src
+        for k in range(levels):
+            sql = (f"SELECT x.* EXCLUDE (f, s), CASE WHEN t.n > 1 THEN sha256(t.l || x.f || t.r) ELSE x.f END AS f, CASE WHEN t.n > 1 THEN x.s || t.l || t.r ELSE x.s END AS s "
+                   f"FROM ({sql}) x JOIN {name}_{k} t ON t.g = x.{into} AND t.p = x.{into}p // {8 ** k}")
+        return sql
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce('1' || lang, '0') AS g, {leaf('text')} AS leaf,
+             CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS t FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS gp FROM d),
+{tree('a', 'SELECT g, gp AS p, leaf AS h FROM p')},
+roots AS (SELECT g AS lang, 0 AS g, row_number() OVER (ORDER BY g) - 1 AS p, h FROM a_{levels}),
+{tree('b', 'SELECT g, p, h FROM roots')},
+inside AS ({folded('a', "SELECT doc_id, leaf, g, gp, t AS f, '' AS s FROM p", 'g')}),
+whole AS ({folded('b', "SELECT doc_id, leaf, i.f, i.s, h AS subroot, 0 AS g, p AS gp FROM inside i JOIN roots ON lang = i.g", 'g')})
+SELECT doc_id, leaf, subroot, (SELECT h FROM b_{levels}) AS root, sha256(s) AS proof_sha256, f AS folded_root, f = (SELECT h FROM b_{levels}) AS verified FROM whole
+"""
+
+
+@query("op13_merkle_manifest", _op13_sql())
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.common import lower_ascii
+    from ticklab.llm.merkle import leaf_text, manifest, verify
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    cols = ["doc_id", "source", "lang", "n_chars"]
+    touched = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0
+    found = F.when(touched, lower_ascii("text")).otherwise(F.col("text"))  # what a later reader finds
+
+    def leaf(col):
+        return F.unhex(F.sha2(leaf_text(*cols, col), 256))
+    leaves = docs.withColumn("found", found).select("doc_id", "lang", leaf("text").alias("leaf"), leaf("found").alias("found"))
+    out = verify(manifest(leaves, carry=["found"]), "found")
+
+    def text(c):
+        return F.lower(F.hex(c))
+    return out.select(F.col("id").alias("doc_id"), text("leaf").alias("leaf"), text("subroot").alias("subroot"), text("root").alias("root"),
+                      text("proof").alias("proof_sha256"), text("folded_root").alias("folded_root"), "verified")
