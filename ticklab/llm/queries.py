@@ -294,3 +294,78 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.lower(F.hex(c))
     return out.select(F.col("id").alias("doc_id"), text("leaf").alias("leaf"), text("subroot").alias("subroot"), text("root").alias("root"),
                       text("proof").alias("proof_sha256"), text("folded_root").alias("folded_root"), "verified")
+
+
+# ------------------------------------------------------------------ 12 conversation structure repair
+def damage(rows: DataFrame) -> DataFrame:
+    """The log with about a fifth of its rows damaged, by conversation and turn; nulls of role and text are one space,
+    so are those of conversation and turn in the hash."""
+    def name(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.pmod(F.crc32(F.concat(name("conv_id"), F.lit(":"), name("turn")).cast("binary")), F.lit(20))
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(F.col("text"), ".!?", "")).otherwise(F.col("text"))
+    role = F.when(kind == 4, "user").otherwise(F.col("role"))
+    rows = rows.select("conv_id", "turn", name("role").alias("role"), name("text").alias("text"))
+    return (rows.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.when(kind == 3, 2).otherwise(1).alias("copies"))
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy"))
+
+
+def _op12_sql() -> str:
+    """Cost and audit to the end in one text for every state (0 to 3), row by row from the last."""
+    def add(v: str, cost: str, mark: str) -> str:
+        return f"(printf('%08d', {v}[1:8]::BIGINT + {cost}) || '{mark}' || {v}[9:])"
+
+    nxt = {0: ("u", 2), 1: ("u", 2), 2: ("a", 3), 3: ("u", 2)}
+    base = []
+    for q, (role, to) in nxt.items():
+        ways = [add(f"r.v{to}", "3 + m.extra", "R"), f"CASE WHEN m.c = '{role}' THEN {add(f'r.v{to}', 'm.extra', 'K')} ELSE '~' END"]
+        if q == 0:
+            ways.append(f"CASE WHEN m.c = 's' THEN {add('r.v1', 'm.extra', 'K')} ELSE '~' END")
+        base.append(f"least({add(f'r.v{q}', '4', 'D')}, CASE WHEN m.fault IN ('blank', 'duplicate') THEN '~' ELSE least({', '.join(ways)}) END) AS b{q}")
+    one = ", ".join(f"least(b{q}, {add(f'b{to}', '3', 'I')}) AS w{q}" for q, (_, to) in nxt.items())
+    two = ", ".join(f"least(b{q}, {add(f'w{to}', '3', 'I')}) AS v{q}" for q, (_, to) in nxt.items())
+    blanks = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS d FROM conversations),
+r0 AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE WHEN d = 1 THEN '' WHEN d = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+          unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE d <> 0),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) - 1 AS i FROM r0),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth, role[1] AS c0, trim(text, {blanks}) AS t FROM r1),
+marked AS (SELECT conv_id, turn, role, text, i, c0, CASE WHEN c0 IN ('s', 'u', 'a') THEN c0 ELSE 'x' END AS c,
+             CASE WHEN t = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN t[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM r2),
+m AS (SELECT *, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra, lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair FROM marked),
+stats AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+            count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM m GROUP BY conv_id),
+r(conv_id, i, v0, v1, v2, v3) AS (
+  SELECT conv_id, n, '00000000', '00000006II', '00000003I', '00000000' FROM stats
+  UNION ALL
+  SELECT conv_id, i, {', '.join(f'v{q}' for q in nxt)} FROM (SELECT conv_id, i, {two} FROM (SELECT *, {one} FROM (SELECT m.conv_id, m.i, {', '.join(base)} FROM r JOIN m ON m.conv_id = r.conv_id AND m.i = r.i - 1)))),
+best AS (SELECT conv_id, v0[1:8]::BIGINT AS cost, v0[9:] AS audit FROM r WHERE i = 0),
+marks AS (SELECT conv_id, unnest(string_split(audit, '')) AS e, unnest(range(length(audit))) AS j FROM best WHERE audit <> ''),
+edits AS (SELECT *, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY j) - 1 AS at, count(*) FILTER (e <> 'D') OVER (PARTITION BY conv_id ORDER BY j) - 1 AS o FROM marks),
+kept AS (SELECT e.*, m.role, m.text, m.c FROM edits e LEFT JOIN m ON e <> 'I' AND m.conv_id = e.conv_id AND m.i = e.at WHERE e <> 'D'),
+heads AS (SELECT conv_id, max(CASE WHEN o = 0 AND e = 'K' AND c = 's' THEN 1 ELSE 0 END) AS s FROM kept GROUP BY conv_id),
+lines AS (SELECT kept.conv_id, j, CASE WHEN e = 'K' THEN role WHEN (o - s) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END AS line FROM kept JOIN heads USING (conv_id)),
+fixed AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY j)) AS h FROM lines GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN fixed USING (conv_id)
+"""
+
+
+@query("op12_structure_repair", _op12_sql())
+def structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticklab.llm.repair import repair
+
+    rows = table(spark, sf_dir, "conversations")
+    out, segments = repair(damage(rows))
+    lines = F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"]))
+    texts = (segments.where(F.size("repaired") > 0).groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("chunk", F.array_join(lines, "\n").alias("lines")))).alias("p"))
+             .select(F.col("conv").alias("text_conv"), F.sha2(F.array_join(F.transform("p", lambda p: p["lines"]), "\n"), 256).alias("h")))
+    out = out.join(texts, F.col("conv").eqNullSafe(F.col("text_conv")), "left")
+    every = rows.select("conv_id").distinct()
+    found = out.join(every, F.col("conv").eqNullSafe(F.col("conv_id")), "right")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("h", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
