@@ -5,7 +5,7 @@ subroots form a tree above them. A leaf's witness lists, from below, its place i
 nodes, and so leads from the leaf to the root.
 
 1. Leaves get their position by a range partition (no task per group), and are dealt into aligned blocks of
-   ``BLOCK`` = ARITY^4 positions.
+   ARITY^``LEVELS`` positions.
 2. A block's task appends its leaves one after the other. Every open subtree keeps the partial witnesses of its
    leaves; when a run's last sibling is appended, the run becomes a node of the next level and all witnesses
    under it grow by their siblings.
@@ -13,8 +13,8 @@ nodes, and so leads from the leaf to the root.
    has one block. The witness of a block's root, found in the last step from the top down, extends those of all
    its leaves.
 
-A round is 4 levels: ten thousand million leaves take three. No task holds more than one block and no digest
-passes through the driver.
+A round is 4 levels: ten thousand million leaves take three. No task holds more than one block, and only the
+root passes through the driver.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from ticklab.operators.layout import with_positions
 
 ARITY = 8
 LEVELS = 4
-BLOCK = ARITY**LEVELS
 
 
 def digest(parts: list[bytes]) -> bytes:
@@ -118,25 +117,27 @@ class OpenTree:
             level += 1
 
 
-def _tree(pdf: pd.DataFrame, n: int) -> tuple[pd.DataFrame, OpenTree, bytes]:
+def _tree(pdf: pd.DataFrame, n: int, levels: int) -> tuple[pd.DataFrame, OpenTree, bytes]:
     """A block of a group of ``n`` nodes: its rows in order, its tree and its root."""
     pdf = pdf.sort_values("pos")
     tree = OpenTree()
     for d in pdf["node"]:
         tree.append(bytes(d))
-    return pdf, tree, tree.close(None if n <= BLOCK else LEVELS)
+    return pdf, tree, tree.close(None if n <= ARITY**levels else levels)
 
 
-def _roots(pdf: pd.DataFrame, sizes: pd.DataFrame) -> pd.DataFrame:
-    """A block (grp, block, pos, node) to its root, a node of the next round."""
-    _, _, root = _tree(pdf, int(sizes["n"].iloc[0]))
-    return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "pos": [int(pdf["block"].iloc[0])], "node": [root]})
+def _roots(levels: int):
+    def run(pdf: pd.DataFrame, sizes: pd.DataFrame) -> pd.DataFrame:
+        """A block (grp, block, pos, node) to its root, a node of the next round."""
+        _, _, root = _tree(pdf, int(sizes["n"].iloc[0]), levels)
+        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "pos": [int(pdf["block"].iloc[0])], "node": [root]})
+    return run
 
 
-def _witnesses(carry: list[str], roots: list[str]):
+def _witnesses(carry: list[str], roots: list[str], levels: int):
     def run(pdf: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         """A block and its root's witness to the witness of every member."""
-        pdf, tree, _ = _tree(pdf, int(above["n"].iloc[0]))
+        pdf, tree, _ = _tree(pdf, int(above["n"].iloc[0]), levels)
         rest = bytes(above["witness"].iloc[0])
         out = pdf[["grp", "pos", *carry, "node"]].assign(witness=[b"".join(w) + rest for w in tree.witness])
         return out.assign(**{c: [above[c].iloc[0]] * len(out) for c in roots})
@@ -150,16 +151,16 @@ def _sized(nodes: DataFrame) -> DataFrame:
     return blocks.select("grp", "block", F.sum("size").over(Window.partitionBy("grp")).alias("n"))
 
 
-def _forest(nodes: DataFrame, carry: list[str], extend=None) -> tuple[DataFrame, DataFrame]:
+def _forest(nodes: DataFrame, carry: list[str], levels: int, extend=None) -> tuple[DataFrame, DataFrame]:
     """(roots, witnesses): ``nodes`` (grp, pos, node, ...) has positions without gaps from 0 in each grp. Roots are
     (grp, node). ``extend(roots)`` gives (grp, witness, subroot, root): what lies above the roots."""
     rounds = []
     while True:
-        nodes = nodes.withColumn("block", F.floor(F.col("pos") / BLOCK))
+        nodes = nodes.withColumn("block", F.floor(F.col("pos") / ARITY**levels))
         sizes = staged(_sized(nodes), "merkle-sizes")
         rounds.append((nodes, sizes))
         found = nodes.select("grp", "block", "pos", "node").groupBy("grp", "block").cogroup(sizes.groupBy("grp", "block"))
-        nodes = staged(found.applyInPandas(_roots, "grp string, pos long, node binary"), "merkle-roots")
+        nodes = staged(found.applyInPandas(_roots(levels), "grp string, pos long, node binary"), "merkle-roots")
         if not sizes.where(F.col("block") > 0).limit(1).count():  # every group is one block
             break
     roots = nodes.select("grp", "node")
@@ -172,7 +173,7 @@ def _forest(nodes: DataFrame, carry: list[str], extend=None) -> tuple[DataFrame,
         kinds = dict(below.dtypes)
         schema = ", ".join(["grp string", "pos long", *(f"`{c}` {kinds[c]}" for c in own), "node binary", "witness binary", *(f"{c} binary" for c in ends)])
         found = (below.select("grp", "block", "pos", "node", *own).groupBy("grp", "block")
-                 .cogroup(above.join(sizes, ["grp", "block"]).groupBy("grp", "block")).applyInPandas(_witnesses(own, ends), schema))
+                 .cogroup(above.join(sizes, ["grp", "block"]).groupBy("grp", "block")).applyInPandas(_witnesses(own, ends, levels), schema))
         above = found if k == 0 else staged(found.select("grp", F.col("pos").alias("block"), "witness", *ends), "merkle-witnesses")
     return roots, above
 
@@ -182,13 +183,14 @@ def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return staged(with_positions(rows, ("grp",), tuple(order), "pos"), "merkle-leaves")
 
 
-def manifest(leaves: DataFrame, group_col: str = "lang", id_col: str = "doc_id", leaf_col: str = "leaf", carry: list[str] | None = None) -> DataFrame:
+def manifest(leaves: DataFrame, group_col: str = "lang", id_col: str = "doc_id", leaf_col: str = "leaf", carry: list[str] | None = None,
+             levels: int = LEVELS) -> DataFrame:
     """(grp, pos, id, leaf, carry..., subroot, root, witness), one row per row of ``leaves``: leaf is a sha256 digest
     (32 bytes); witness leads from it to the root (``fold``), ``pos`` is its place in its group.
 
     Groups are ordered null first, then bytewise; leaves by id, null first, then by digest (rows that repeat an id
     or a whole row are leaves of their own). A tree of one leaf is that leaf itself, also if it is the only group:
-    its witness is empty. Columns ``carry`` travel beside the leaf; others are ignored. An empty table gives no
+    its witness is empty. A task holds a block of 8^``levels`` leaves. Columns ``carry`` travel beside the leaf; others are ignored. An empty table gives no
     rows. ``grp`` is the group as a string with a leading ``1``, and ``0`` for null.
     """
     carry = carry or []
@@ -198,12 +200,12 @@ def manifest(leaves: DataFrame, group_col: str = "lang", id_col: str = "doc_id",
 
     def over_groups(roots: DataFrame) -> DataFrame:
         one = _numbered(roots.select(F.lit("").alias("grp"), F.col("grp").alias("name"), "node"), ["name"])
-        root, found = _forest(one, ["name"])
+        root, found = _forest(one, ["name"], levels)
         whole = root.first()  # one row
         return staged(found.select(F.col("name").alias("grp"), "witness", F.col("node").alias("subroot"),
                                    F.lit(bytes(whole["node"]) if whole else None).cast("binary").alias("root")), "merkle-groups")
 
-    _, out = _forest(_numbered(rows, ["id", "node"]), named, over_groups)
+    _, out = _forest(_numbered(rows, ["id", "node"]), named, levels, over_groups)
     return out.select("grp", "pos", "id", F.col("node").alias("leaf"), *[F.col(f"carry_{c}").alias(c) for c in carry], "subroot", "root", "witness")
 
 
