@@ -196,6 +196,7 @@ def manifest(leaves: DataFrame, group_col: str = "lang", id_col: str = "doc_id",
     carry = carry or []
     grp = F.when(F.col(group_col).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(group_col).cast("string"))).alias("grp")
     rows = leaves.select(grp, F.col(id_col).alias("id"), F.col(leaf_col).alias("node"), *[F.col(c).alias(f"carry_{c}") for c in carry])
+    rows = staged(rows, "merkle-digests")  # the range partition reads its input twice: digests, not texts
     named = ["id", *[f"carry_{c}" for c in carry]]
 
     def over_groups(roots: DataFrame) -> DataFrame:
