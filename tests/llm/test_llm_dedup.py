@@ -169,3 +169,23 @@ def test_components_chain_star_and_empty(spark):
     assert connected_components(df.limit(0)).count() == 0
     names = connected_components(df.select(F.concat(F.lit("u"), "a").alias("a"), F.concat(F.lit("u"), "b").alias("b")))
     assert {r.node: r.component for r in names.collect()}["u49"] == "u0"
+
+
+def test_line_dedup_of_a_very_long_text(spark):
+    """A text of 100,000 lines that loses one, and one that loses half of its lines, are linear work."""
+    import time
+
+    from ticklab.llm.line_dedup import drop_repeated_lines
+
+    shared = "a line that five documents share, long enough"
+    own = [f"line {k} of the long document" for k in range(100_000)]
+    many = [f"a repeated line that six documents share: {k}" for k in range(20_000)]
+    half = "\n".join(x for pair in zip(many, own) for x in pair)
+    rows = [(1, "\n".join([*own[:500], shared, *own[500:]])), (2, half)] + [(k, shared) for k in range(3, 8)] + [(k, "\n".join(many)) for k in range(10, 15)]
+    began = time.time()
+    out = {r.doc_id: r for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    took = time.time() - began
+    assert out[1].text == "\n".join(own) and out[1].n_dropped == 1 and out[1].n_lines == 100_001
+    assert out[2].text == "\n".join(own[:20_000]) and out[2].n_dropped == 20_000
+    assert out[7].text == shared and out[14].text == "\n".join(many) and out[10].text == ""
+    assert took < 60, took

@@ -162,7 +162,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = base.withColumn("text_hash", F.xxhash64("text")).alias("d").join(
         gone.alias("g").hint("merge"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash")), "left")
     lines = F.split("d.text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    kept = F.when(F.col("gone").isNull(), F.col("d.text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+
+    def without(ls):  # ls is a lambda's variable: the text is split once, not once a line
+        left = F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "gone")
+        return F.array_join(F.transform(left, lambda i: F.get(ls, i)), "\n")
+    kept = F.when(F.col("gone").isNull(), F.col("d.text")).otherwise(F.get(F.transform(F.array(lines), without), F.lit(0)))
     return rows.select("d.row", "d.doc_id", kept.alias("text"), F.size(lines).cast("long").alias("n_lines"),
                        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
