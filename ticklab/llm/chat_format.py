@@ -56,11 +56,10 @@ def fold_events(events: DataFrame) -> DataFrame:
     roles = F.filter(F.transform("log", lambda e: e["role"]), lambda r: r.isNotNull())
     regens = F.transform(F.filter("log", lambda e: e["kind"] == "regenerate"), lambda e: e["seq"])
     folded = log.select("conv_id", "target", F.coalesce(F.get(roles, F.lit(0)), F.lit("")).alias("role"), text.alias("text"),
-                        F.struct("target", F.array_max(regens).alias("until")).alias("regen"))
-    # collect_list skips nulls: only messages that were regenerated are gathered
-    cuts = F.collect_list(F.when(F.col("regen.until").isNotNull(), F.col("regen"))).over(Window.partitionBy("conv_id"))
-    alive = ~F.exists("cuts", lambda c: (c["target"] < F.col("target")) & (F.col("target") < c["until"]))
-    return folded.withColumn("cuts", cuts).where(alive).select("conv_id", "target", "role", "text")
+                        F.array_max(regens).alias("until"))
+    # the last regeneration of any earlier message decides
+    cut = F.max("until").over(Window.partitionBy("conv_id").orderBy("target").rowsBetween(Window.unboundedPreceding, -1))
+    return folded.withColumn("cut", cut).where("cut is null or cut <= target").select("conv_id", "target", "role", "text")
 
 
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
@@ -79,15 +78,37 @@ def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
                     F.filter(F.transform("ts", lambda t: t["span"]), lambda s: s.isNotNull()).alias("loss_spans")))
 
 
+def turn_parts(turn):
+    """(role, text, offset of the text) of one formatted turn, without its end."""
+    cut = F.locate(": ", turn)
+    return unescape(F.substring(turn, F.lit(5), cut - 5)), unescape(F.substring(turn, cut + 2, F.length(turn))), cut + 1
+
+
 def parse(formatted):
     """Array of (role, text) read back from a formatted conversation."""
-    turns = F.filter(F.split(formatted, END), lambda t: t != "")
-
     def turn(t):
-        cut = F.locate(": ", t)
-        return F.struct(unescape(F.substring(t, F.lit(5), cut - 5)).alias("role"),
-                        unescape(F.substring(t, cut + 2, F.length(t))).alias("text"))
-    return F.transform(turns, turn)
+        role, text, _ = turn_parts(t)
+        return F.struct(role.alias("role"), text.alias("text"))
+    return F.transform(F.filter(F.split(formatted, END), lambda t: t != ""), turn)
+
+
+def read_back(rendered: DataFrame) -> DataFrame:
+    """(conv_id, formatted_chars, turns) of ``render``'s rows: turns is an array of (i, role, text, loss) read from the
+    formatted text, loss the unescaped text under the mask (null where nothing of the turn is masked).
+
+    A conversation is split into its turns once; where they begin follows from their lengths, and a span meets its
+    turn by an equi-join on the place where the turn's text begins, so the work is linear in the turns."""
+    parts = rendered.select("conv_id", F.posexplode(F.split("formatted", END)).alias("i", "turn")).where("turn <> ''")
+    before = Window.partitionBy("conv_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("turn") + len(END)).over(before), F.lit(0))
+    role, text, offset = turn_parts(F.col("turn"))
+    parts = parts.withColumn("at", (start + offset).cast("long")).alias("p")
+    spans = rendered.select("conv_id", F.explode("loss_spans").alias("s")).select("conv_id", F.col("s.start").alias("at"), "s.length").alias("s")
+    met = parts.join(spans, F.col("p.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("p.at") == F.col("s.at")), "left")
+    loss = F.when(F.col("length").isNotNull(), unescape(F.substring("turn", (offset + 1).cast("int"), F.col("length").cast("int"))))
+    cell = F.struct("i", role.alias("role"), text.alias("text"), loss.alias("loss"), (F.length("turn") + len(END)).cast("long").alias("chars"))
+    out = met.select("p.conv_id", cell.alias("cell")).groupBy("conv_id").agg(F.array_sort(F.collect_list("cell")).alias("turns"), F.sum("cell.chars").alias("formatted_chars"))
+    return out.select("conv_id", "formatted_chars", "turns")
 
 
 def events_of_rows(rows: DataFrame, chunk: int = 512) -> DataFrame:

@@ -160,19 +160,18 @@ FROM x GROUP BY conv_id
 
 @query("op8_chat_format", OP8_SQL)
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ticklab.llm.chat_format import events_of_rows, fold_events, parse, render, unescape
+    from ticklab.llm.chat_format import events_of_rows, fold_events, read_back, render
 
     cols = ["conv_id", "turn", "role", "text"]
     extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select(*cols).unionByName(extra)
-    out = render(fold_events(events_of_rows(rows)))
-    turns = F.transform(parse(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return (out.select("conv_id", "formatted", turns.alias("turns"), F.array_join(masked, "").alias("loss"))
-            .select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
-                    F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
-                    F.length("formatted").cast("long").alias("formatted_chars")))
+    out = read_back(render(fold_events(events_of_rows(rows))))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    masked = F.array_join(F.transform("turns", lambda t: t["loss"]), "")  # turns without a mask have none
+    return (out.select("conv_id", "turns", "formatted_chars", F.array_join(turns, "").alias("whole"), masked.alias("loss"))
+            .select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2("whole", 256).alias("turns_sha256"),
+                    F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"))
 
 
 # ------------------------------------------------------------------ 9 byte-level BPE
