@@ -98,10 +98,11 @@ def test_pretokens_match_the_pattern():
     r = random.Random(2)
     sample = ["".join(r.choice(ALPHABET) for _ in range(r.randrange(0, 12))) for _ in range(20_000)] + ["", "'s", " 's", "'s't"]
     got = []
-    for _, _, words, counts in split_batches(sample):
-        k = 0
+    for _, _, words, which, counts in split_batches(sample):
+        assert len(set(words)) == len(words)
+        tokens, k = [words[i] for i in which], 0
         for n in counts:
-            got.append(words[k:k + n])
+            got.append(tokens[k:k + n])
             k += n
     assert got == [pattern.findall(t) for t in sample]
 
@@ -213,3 +214,41 @@ def test_digest_of_ids_is_little_endian(spark):
 
     df = spark.createDataFrame([(np.array([1, 258], "<u4").tobytes(),)], "ids binary")
     assert df.select(F.sha2("ids", 256)).first()[0] == hashlib.sha256(b"\x01\0\0\0\x02\x01\0\0").hexdigest()
+
+
+def test_tokens_of_equal_first_hash_stay_apart(monkeypatch):
+    """Where two texts share the first hash but not the second, every pre-token is its own."""
+    from ticklab.llm import pretokens
+
+    real = pretokens.token_hashes
+    monkeypatch.setattr(pretokens, "token_hashes", lambda cp, begins: (np.zeros(len(begins), np.uint64), real(cp, begins)[1]))
+    (_, _, words, which, counts), = pretokens.split_batches(["one two one", "two three"])
+    assert [words[i] for i in which] == ["one", " two", " one", "two", " three"] and counts.tolist() == [3, 2]
+
+
+def test_bpe_of_a_text_longer_than_a_block(spark):
+    from ticklab.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    long = " ".join(f"w{k % 5000}" for k in range(bpe.BLOCK_TOKENS // 2 + 10_000))  # a letter and a number each
+    out = bpe.decode(bpe.encode(frame(spark, [(1, long), (2, "short")]), path, public_tokenizers.PATTERN), path)
+    got = {r.doc_id: bytes(r.bytes) for r in out.collect()}
+    assert got == {1: long.encode(), 2: b"short"}
+
+
+def test_chat_of_many_turns(spark):
+    """50,000 turns in one conversation, some regenerated, are linear work."""
+    import time
+
+    from ticklab.llm.chat_format import events_of_rows, fold_events, read_back, render
+
+    n = 50_000
+    rows = spark.range(n).selectExpr("cast(null as bigint) as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('text: ## ', id) as text")
+    log = events_of_rows(rows)
+    again = spark.createDataFrame([(None, (n + 1) << 31, "regenerate", (n - 10 + 1) << 31, None, "anew: </turn>")], log.schema)
+    began = time.time()
+    got = read_back(render(fold_events(log.unionByName(again)))).first()
+    took = time.time() - began
+    assert len(got.turns) == n - 9 and got.turns[-1].text == "anew: </turn>" and got.turns[-1].loss is None
+    assert all((t.loss == t.text) == (t.role == "assistant") for t in got.turns[:-1])
+    assert took < 60, took

@@ -5,15 +5,17 @@ Encoding:
 1. Every partition splits its documents into pre-tokens and numbers the distinct ones of a block (up to
    BLOCK_TOKENS pre-tokens); a document becomes the sequence of its words' numbers, by position.
 2. Each block's distinct words go to word shards, one packed row per (block, shard). A shard encodes
-   each distinct word once, whatever number of blocks ask for it, and answers with packed ids. A very
-   common word costs one entry a block, never one row an occurrence.
+   each distinct word once, whatever number of blocks ask for it, and answers with packed ids (a shard of
+   more than KNOWN_WORDS words starts its table afresh, so its memory is bounded). A very common word costs
+   one entry a block, never one row an occurrence.
 3. Answers meet the block's sequences by block key; ids are reassembled by position.
 
 Step 1 runs once for the words and once for the sequences (cheaper than keeping the sequences on disk);
 checksums over each block's words tie the two together, so a block that was read differently fails
 loudly instead of mixing up words.
 
-Decoding looks ids up in the token-byte table (a vocabulary: bounded, read once a worker).
+Decoding joins ids with the token-byte table: the table is the vocabulary, bounded and read once a worker, and
+dense in the id, so that the join is an array lookup beside each document.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ from ticklab.llm.pretokens import split_batches
 
 BLOCK_TOKENS = 1 << 21
 GATHERED = 1 << 18  # pre-tokens whose ids are gathered at a time
+KNOWN_WORDS = 1_000_000  # a shard worker's words start afresh beyond this
+SHARD_BYTES = 8 << 20
+MAX_SHARDS = 8192
 
 
 @functools.cache
@@ -75,13 +80,13 @@ class _Block:
 
     def add(self, ids: list, texts: list[str]) -> None:
         index = self.index
-        for i, j, words, counts in split_batches(texts):
+        for i, j, words, which, counts in split_batches(texts):
             for w in words:
                 if w not in index:
                     index[w] = len(index)
-            self.parts.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words)))
+            self.parts.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words))[which])
             self.sizes.append(counts)
-            self.tokens += len(words)
+            self.tokens += len(which)
             self.docs += ids[i:j]
 
     def shards(self, n: int) -> tuple[list[tuple[bytes, int]], np.ndarray]:
@@ -152,6 +157,8 @@ def _encode_words(path: str, pattern: str):
                 sizes, flat = unpack_lists(blob.as_py())
                 ends = np.cumsum(sizes).tolist()
                 words = [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
+                if len(known) > KNOWN_WORDS:
+                    known.clear()
                 new = list({w for w in words if w not in known})
                 for w, ids in zip(new, enc.encode_ordinary_batch([w.decode() for w in new], num_threads=1)):
                     known[w] = np.array(ids, wide).tobytes()
@@ -193,6 +200,16 @@ def _reassemble(path: str):
     return run
 
 
+def word_shards(texts: DataFrame) -> int:
+    """Word shards from the optimizer's size estimate: SHARD_BYTES of input each, so that a task's share stays the same;
+    at most MAX_SHARDS, since every block sends a row to every shard."""
+    plan = getattr(texts, "_jdf", None)
+    size = int(plan.queryExecution().optimizedPlan().stats().sizeInBytes()) if plan else 1 << 62
+    if size >= 1 << 60:  # no estimate
+        return int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_SHARDS, max(1, -(-size // SHARD_BYTES)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): ids as little-endian unsigned 32-bit integers, one row per input row.
 
@@ -201,7 +218,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shards = max(32, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shards = word_shards(texts)
     words = texts.mapInArrow(_words(shards), "block long, shard int, words binary, crc long")
     answers = (words.repartition(shards, "shard").mapInArrow(_encode_words(path, pattern), "block long, shard int, ids binary, crc long"))
     seqs = texts.mapInArrow(_sequences(shards), "block long, docs array<long>, sizes binary, seq binary, order binary, crcs binary")

@@ -14,6 +14,7 @@ at sequence ends (the chain's rest at powers of two).
 from __future__ import annotations
 
 import functools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -76,20 +77,21 @@ class WordIds:
             found = [e.ids for e in self.tok.encode_batch(rest, add_special_tokens=False)]
             self._add(rest, np.array([len(x) for x in found], np.int64), np.array([i for x in found for i in x], np.uint32))
 
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words one after the other, and how many each has."""
+    def ids(self, words: list[str], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens ``words[which]`` one after the other, and how many each has."""
         if len(self.index) > CACHED_WORDS:
             self.clear()
         index = self.index
-        new = {w for w in words if w not in index}
+        new = list(dict.fromkeys(w for w in words if w not in index))
         if new:
-            self._encode(list(new))
-        at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+            self._encode(new)
+        at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))[which]
         return gather(self.flat, self.begin, self.size, at), self.size[at]
 
 
 @functools.cache
 def word_ids(path: str) -> WordIds:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     return WordIds(path)
 
 
@@ -115,9 +117,9 @@ def _pieces(path: str, end_id: int, capacity: int, min_head: int, added_tokens:
                 docs, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
                 rows: list[tuple] = []
                 whole_text = {i for i, t in enumerate(texts) if added_tokens and any(a in t for a in enc.added)}
-                for i, j, words, counts in split_batches(["" if i in whole_text else t for i, t in enumerate(texts)]):
-                    ids, sizes = enc.ids(words)
-                    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)] if len(words) else np.zeros(j - i, np.int64)
+                for i, j, words, which, counts in split_batches(["" if i in whole_text else t for i, t in enumerate(texts)]):
+                    ids, sizes = enc.ids(words, which)
+                    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
                     for at_text, a, z in zip(range(i, j), [0, *ends[:-1].tolist()], ends.tolist()):
                         doc, own = docs[at_text], ids[a:z]
                         if at_text in whole_text:  # an added token's string: the library finds where it counts

@@ -68,8 +68,39 @@ def starts(text: str, firsts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new[:n])
 
 
-def split_batches(texts: list[str]) -> Iterator[tuple[int, int, list[str], np.ndarray]]:
-    """(first text, next text, pre-tokens, tokens per text) for groups of texts of about BATCH_CHARS."""
+@functools.cache
+def _mixed() -> tuple[np.ndarray, np.ndarray]:
+    """Two random 64-bit numbers for every code point."""
+    x = np.arange(1, 2 * 0x110000 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x[:0x110000], x[0x110000:]
+
+
+_FACTOR = 0xD1342543DE82EF95  # odd: has an inverse modulo 2^64
+
+
+@functools.lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n of the factor and of its inverse."""
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, f, np.uint64))]) for f in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
+
+
+def token_hashes(cp: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each token of the code points ``cp``, cut at ``begins``."""
+    up, down = _powers(1 << max(18, int(len(cp)).bit_length()))
+    cuts = np.append(begins, len(cp))
+    out = []
+    for table in _mixed():
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[cp] * up[:len(cp)])])[cuts]
+        out.append((sums[1:] - sums[:-1]) * down[begins])
+    return out[0], out[1]
+
+
+def split_batches(texts: list[str]) -> Iterator[tuple[int, int, list[str], np.ndarray, np.ndarray]]:
+    """(first text, next text, distinct pre-tokens, which of them each pre-token is, pre-tokens per text) for groups
+    of texts of about BATCH_CHARS. Pre-tokens of equal 128-bit hashes are one; only distinct ones become strings."""
     i = 0
     while i < len(texts):
         j, size = i, 0
@@ -80,7 +111,11 @@ def split_batches(texts: list[str]) -> Iterator[tuple[int, int, list[str], np.nd
         lens = np.array([len(t) for t in texts[i:j]], np.int64)
         ends = np.cumsum(lens)
         begins = starts(whole, np.unique(ends - lens))
-        cuts = begins.tolist()
-        words = [whole[a:b] for a, b in zip(cuts, [*cuts[1:], len(whole)])]
-        yield i, j, words, np.diff(np.searchsorted(begins, np.concatenate([[0], ends])))
+        h, check = token_hashes(code_points(whole), begins)
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        if not (check[first[which]] == check).all():  # equal in the first 64 bits only
+            first = which = np.arange(len(begins))
+        stop = np.append(begins[1:], len(whole))
+        words = [whole[a:b] for a, b in zip(begins[first].tolist(), stop[first].tolist())]
+        yield i, j, words, which, np.diff(np.searchsorted(begins, np.concatenate([[0], ends])))
         i = j
