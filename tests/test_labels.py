@@ -30,7 +30,7 @@ def test_exact_quantiles_match_numpy_with_narrowing(spark):
     vals = rng.normal(size=20000).round(4)  # many ties
     df = spark.createDataFrame([(float(v),) for v in vals] + [(None,), (float("nan"),)], "x double")
     ps = [0.0, 0.1, 0.75, 0.85, 0.9, 1.0]
-    got = exact_quantiles(df, {"x": ps}, accuracy=200, max_candidates=300)
+    got = exact_quantiles(df, {"x": ps}, max_values=300, k=200)
     for p in ps:
         assert got[("x", p)] == np.percentile(vals, p * 100, method="linear") or abs(
             got[("x", p)] - np.percentile(vals, p * 100, method="linear")) < 1e-12
@@ -52,3 +52,46 @@ def test_persistence_needs_five_following_ticks(spark):
     last = {r.tick_id: r.label_persistence for r in lab.where("tick_id >= 74").collect()}
     # ticks 75..79 have fewer than five successors -> never persistent
     assert all(last[i] == 0 for i in range(75, 80))
+
+
+def test_quantiles_take_one_pass_with_observed_sketches(spark):
+    """The sketches come from the write; one job counts the brackets, whatever the data's shape."""
+    from ticklab.operators import labels
+
+    rng = np.random.default_rng(3)
+    shapes = {"normal": rng.normal(size=50_000), "ties": rng.integers(0, 5, 50_000).astype(float), "heavy": np.exp(rng.normal(size=50_000) * 40),
+              "infinite": np.concatenate([rng.normal(size=49_990), [np.inf] * 5, [-np.inf] * 5])}
+    df = spark.createDataFrame(list(zip(*[x.tolist() for x in shapes.values()])), ", ".join(f"{c} double" for c in shapes)).repartition(7).cache()
+    wanted = {c: [0.25, 0.75, 0.9] for c in shapes}
+    stats = df.agg(*labels.sketch_stats(wanted)).first().asDict()
+    jobs = []
+    counted = labels._counted
+    labels._counted = lambda *a: jobs.append(1) or counted(*a)
+    try:
+        got = exact_quantiles(df, wanted, stats=stats)
+    finally:
+        labels._counted = counted
+    assert len(jobs) == 1
+    for c, x in shapes.items():
+        for p in wanted[c]:
+            assert got[c, p] == np.percentile(x, 100 * p, method="linear") or abs(got[c, p] / np.percentile(x, 100 * p, method="linear") - 1) < 1e-12
+    # brackets too large for the driver: written, and cut into slices there
+    few = exact_quantiles(df, wanted, stats=stats, max_values=20)
+    assert few == got
+    # a sketch that misses its rank on either side: the counts show it and the bracket is widened
+    for ends in ([[-9.0, -8.0] * 3, [8.0, 9.0] * 3]):
+        missed = stats | {"ends0": ends}
+        assert exact_quantiles(df, {"normal": [0.25, 0.75, 0.9]}, stats=missed) == {("normal", p): got["normal", p] for p in (0.25, 0.75, 0.9)}
+    empty = exact_quantiles(df.limit(0), {"normal": [0.5]})
+    assert empty == {("normal", 0.5): None}
+
+
+def test_offsets_of_many_series_equal_those_of_few(spark):
+    from ticklab.operators import ordering
+
+    df = spark.range(3000).selectExpr("concat('s', id % 40) as symbol", "id as event_time", "id as tick_id").withColumn("rn", F.expr("floor(tick_id / 40)"))
+    sizes = df.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
+    a, b = (ordering._offset(df, sizes, ["symbol"], "pos", "rn", few) for few in (100, 10))
+    rows = sorted(a.select("tick_id", "pos", "n_total").collect())
+    assert rows == sorted(b.select("tick_id", "pos", "n_total").collect())
+    assert sorted(r.pos for r in rows) == list(range(3000)) and rows[0].n_total == 3000

@@ -78,7 +78,7 @@ def test_jump_filter_with_gapped_positions(spark, monkeypatch):
 def test_quantiles_of_ties_and_extremes_end(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     ps = [0.0, 0.3, 0.5, 0.85, 1.0]
-    got = exact_quantiles(df, {"x": ps}, accuracy=1000, max_candidates=100)
+    got = exact_quantiles(df, {"x": ps}, max_values=100)
     ordered = sorted(values)
     for p in ps:
         k = p * (len(values) - 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +27,7 @@ def global_positions(
 ) -> DataFrame:
     """O3: 0-based position of each row in the global (symbol, time, id) order.
 
-    Per-symbol positions (skew-safe, see layout) plus per-symbol offsets: one row per symbol, numbered
-    like any series and written once, so its true size decides how it is joined."""
+    Per-symbol positions (skew-safe, see layout) plus per-symbol offsets, one row a symbol."""
     if series_pos not in df.columns:
         if resolve_layout(df, layout, keys) == "symbol":
             w = Window.partitionBy(*keys).orderBy(*order)
@@ -34,15 +35,32 @@ def global_positions(
         else:
             df = with_positions(df, keys, order, series_pos)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = materialize(sizes, "series-sizes")
-    # symbols in order, dealt to ranges: a window per range plus the ranges before it
-    ranged = materialize(sizes.repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()), "series-ranges")
-    prior = Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy("_p").agg(F.sum("_n").alias("_pn"))  # at most one row a partition
-    earlier = parts.select("_p", F.coalesce(F.sum("_pn").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    offsets = ranged.join(earlier, "_p").select(
-        *keys, (F.coalesce(F.sum("_n").over(prior), F.lit(0)) + F.col("_before")).alias("_off"),
-        sizes.agg(F.sum("_n")).scalar().alias("_total"))
+    return _offset(df, sizes, keys, pos_col, series_pos)
+
+
+FEW_SERIES = 10_000  # series sizes that may come to the driver
+
+
+def _offset(df: DataFrame, sizes: DataFrame, keys, pos_col: str, series_pos: str, few: int = FEW_SERIES) -> DataFrame:
+    """Adds the rows of all earlier series (``sizes``: keys, _n). Up to ``few`` series: their sizes are summed on the
+    driver, in one job. More: the sizes are written and summed range by range."""
+    head = sizes.limit(few + 1).collect()
+    if len(head) <= few:
+        head = sorted(head, key=lambda r: [(r[k] is not None, r[k]) for k in keys])
+        ends = list(itertools.accumulate(r["_n"] for r in head))
+        rows = [(*(r[k] for k in keys), end - r["_n"], ends[-1]) for r, end in zip(head, ends)]
+        kinds = ", ".join([*(f"`{k}` {dict(sizes.dtypes)[k]}" for k in keys), "_off long", "_total long"])
+        offsets = df.sparkSession.createDataFrame(rows, kinds)
+    else:
+        sizes = materialize(sizes, "series-sizes")
+        # series in order, dealt to ranges: a window per range plus the ranges before it
+        ranged = materialize(sizes.repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()), "series-ranges")
+        prior = Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+        parts = ranged.groupBy("_p").agg(F.sum("_n").alias("_pn"))  # at most one row a partition
+        earlier = parts.select("_p", F.coalesce(F.sum("_pn").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+        offsets = ranged.join(earlier, "_p").select(
+            *keys, (F.coalesce(F.sum("_n").over(prior), F.lit(0)) + F.col("_before")).alias("_off"),
+            sizes.agg(F.sum("_n")).scalar().alias("_total"))
     return (
         df.join(offsets, list(keys))
         .withColumn(pos_col, F.col("_off") + F.col(series_pos))

@@ -37,8 +37,12 @@ def _valid(spark, d):
     return quality.valid_quote(_ticks(spark, d))
 
 
+#: Columns of the labelled table that the queries read.
+LABELLED = ["symbol", "tick_id", "event_time", "rn", "bid_price", "ask_price", *FEATURES]
+
+
 def _labelled(spark, d):
-    return labelled_ticks(_valid(spark, d))
+    return labelled_ticks(_valid(spark, d), keep=LABELLED)
 
 
 def _scored(spark, d):
@@ -366,11 +370,10 @@ def _task_split_rows(spark, d):
     lab, _ = _labelled(spark, d)
     cc = rule_scores(quality.complete_cases(lab)).drop("rn")
     sp = ordering.positional_split(ordering.global_positions(cc))
-    det = sp.select("split", F.lit("detection").alias("task"), F.col("label_detection").alias("label"), F.col("det_prob").alias("score"))
-    per = sp.select("split", F.lit("persistence").alias("task"), F.col("label_persistence").alias("label"), F.col("per_prob").alias("score"))
-    rows = det.unionByName(per).withColumn("prediction", (F.col("score") >= F.lit(0.5)).cast("int"))
-    # confusion counts and rank sums both read these rows: written once
-    return materialize(rows, "task_split_rows")
+    # one scan for both tasks; metrics() writes only their counts
+    task = F.explode(F.array(*[F.struct(F.lit(t).alias("task"), F.col(f"label_{t}").alias("label"), F.col(p).alias("score"))
+                               for t, p in (("detection", "det_prob"), ("persistence", "per_prob"))])).alias("t")
+    return sp.select("split", task).select("split", "t.*").withColumn("prediction", (F.col("score") >= F.lit(0.5)).cast("int"))
 
 
 def e7_metrics_by_task_split(spark, d):
