@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 from ticklab.functions.exprs import mid_price
 from ticklab.operators import compare, evaluate, ordering, quality, trades
+from ticklab.operators.bucketed import bucketed_exits, bucketed_features, write_bucketed
 from ticklab.operators.features import add_features, last_ticks, newest_per_symbol
-from ticklab.operators.labels import exact_quantiles, label_balance, labelled_ticks, fallback_rule
+from ticklab.operators.labels import LABEL_QUANTILES, detection_rule, exact_quantiles, fallback_rule, label_balance, labelled_ticks
 from ticklab.operators.layout import run_series, with_positions
 from ticklab.operators.outcomes import ExitRules, peak_path, positioned, signal_exits
 from ticklab.operators.scoring import RULE_SCORES_SQL, rule_scores
 from ticklab.session import materialize
-from ticklab.schema import FEATURES, PERSIST_AHEAD, PERSIST_FACTOR, REQUIRED_COLUMNS, ZERO_CHECK_COLUMNS
+from ticklab.schema import (
+    FALLBACK_MIN_POSITIVES, FALLBACK_QUANTILE, FEATURES, MOMENTUM_QUANTILE, PERSIST_AHEAD, PERSIST_FACTOR, REQUIRED_COLUMNS,
+    ZERO_CHECK_COLUMNS, ZSCORE_QUANTILE,
+)
 from ticklab.sources.incremental import current_snapshot, high_water_mark, read_since
 from ticklab.sources.ticks import TICK_VIEW_SQL, load_ticks
 
@@ -409,6 +413,25 @@ def t1_barrier_outcome(spark, d):
     return ex.select("symbol", "entry_pos", "exit_pos", "entry_price", "exit_price", "return_pct", "ticks_held", "exit_reason")
 
 
+def w5_bucketed_features(spark, d):
+    """W1-W5 on a bucketed table: no exchange below the windows."""
+    f = bucketed_features(spark, write_bucketed(_valid(spark, d)))
+    return _r(f.select("tick_id", "price_momentum_5", "volume_zscore"), "price_momentum_5", "volume_zscore")
+
+
+def t1_bucketed_outcome(spark, d):
+    """T1 on a bucketed table: thresholds from its features, then signals and exits without an exchange."""
+    rows = bucketed_features(spark, write_bucketed(_valid(spark, d)), halo=True)
+    own = rows.where("_own")
+    q = exact_quantiles(own, LABEL_QUANTILES)
+    t_m, t_v = q["price_momentum_5", MOMENTUM_QUANTILE], q["volume_zscore", ZSCORE_QUANTILE]
+    rule = detection_rule(t_m, t_v)
+    if (own.agg(F.sum(rule)).first()[0] or 0) < FALLBACK_MIN_POSITIVES:
+        rule = fallback_rule(q["price_momentum_5", FALLBACK_QUANTILE])
+    ex = bucketed_exits(rows, rule == 1)
+    return ex.select("symbol", "entry_pos", "exit_pos", "entry_price", "exit_price", "return_pct", "ticks_held", "exit_reason")
+
+
 def w8_peak_return(spark, d):
     lab, _ = _labelled(spark, d)
     lab = lab.withColumn("signal", F.col("label_detection") == 1)
@@ -758,6 +781,8 @@ ORACLE["f9_entry_signals"] = _with(*SCORES) + """SELECT symbol, count_if(det_pro
 ORACLE["f10_agreement"] = _with(*SCORES) + "SELECT symbol, count_if(det_prob >= 0.5e0 AND per_prob >= 0.5e0) AS n_agree FROM scored GROUP BY symbol"
 ORACLE["t1_barrier_outcome"] = _with(*LABS, *_t1_ctes("det", "lab", "s0.label_detection = 1", "bid_price", None, None, None, "model")) + """
 SELECT symbol, entry_pos, exit_pos, entry_price, exit_price, return_pct, ticks_held, exit_reason FROM det"""
+ORACLE["t1_bucketed_outcome"] = ORACLE["t1_barrier_outcome"]
+ORACLE["w5_bucketed_features"] = _with(*FEATS) + "SELECT tick_id, round(price_momentum_5, 6) AS price_momentum_5, round(volume_zscore, 6) AS volume_zscore FROM feat"
 ORACLE["w8_peak_return"] = _with(*LABS) + """SELECT symbol, s_rn, rn, ret,
   max(ret) OVER (PARTITION BY symbol, s_rn ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak
   FROM (SELECT s.symbol, s.rn AS s_rn, t.rn, (t.bid_price - s.bid_price) / s.bid_price AS ret
