@@ -783,6 +783,8 @@ ORACLE["t1_barrier_outcome"] = _with(*LABS, *_t1_ctes("det", "lab", "s0.label_de
 SELECT symbol, entry_pos, exit_pos, entry_price, exit_price, return_pct, ticks_held, exit_reason FROM det"""
 ORACLE["t1_bucketed_outcome"] = ORACLE["t1_barrier_outcome"]
 ORACLE["w5_bucketed_features"] = _with(*FEATS) + "SELECT tick_id, round(price_momentum_5, 6) AS price_momentum_5, round(volume_zscore, 6) AS volume_zscore FROM feat"
+ORACLE["m6_daily_features"] = _with(*FEATS) + """SELECT tick_id, symbol, rn, round(price_momentum_5, 6) AS price_momentum_5,
+  round(volume_zscore, 6) AS volume_zscore, round(weight_velocity, 6) AS weight_velocity FROM feat"""
 ORACLE["w8_peak_return"] = _with(*LABS) + """SELECT symbol, s_rn, rn, ret,
   max(ret) OVER (PARTITION BY symbol, s_rn ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak
   FROM (SELECT s.symbol, s.rn AS s_rn, t.rn, (t.bid_price - s.bid_price) / s.bid_price AS ret

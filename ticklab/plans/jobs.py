@@ -65,16 +65,32 @@ def train_job(
 ):
     """M6: recent window -> F1 -> F4 -> F3 -> features -> labels -> 60/20/20 split -> fit ->
     evaluate (E7 + E6) -> publish to the registry. Returns (model, metrics DataFrame)."""
-    from ticklab.ml import models as ml
-    from ticklab.operators.evaluate import log_loss, metrics
-    from ticklab.operators.ordering import global_positions, positional_split
-
-    params = params or ml.GBTParams()
     t = quality.valid_quote(ticks)
     if recent:
         t = quality.recent_days(t, recent)
     t = quality.zero_density_filter(t)
     lab, _ = labelled_ticks(t)
+    return fit_job(spark, lab, root, kind, params)
+
+
+def retrain_from_store(spark: SparkSession, store: str, root: str, recent: int, kind: str = "two_score", params=None):
+    """M6 on a daily feature store: the newest days' stored features -> labels -> ``fit_job``. No feature of an older
+    day is computed or read; the window's first ticks look back into the day before it."""
+    from ticklab.operators.daily import read_features, with_lookahead
+    from ticklab.operators.labels import label_features
+
+    feats = materialize(with_lookahead(read_features(spark, store, recent)), "recent-features")
+    lab, _ = label_features(feats)
+    return fit_job(spark, lab, root, kind, params)
+
+
+def fit_job(spark: SparkSession, lab: DataFrame, root: str, kind: str = "two_score", params=None):
+    """Labelled features -> 60/20/20 split -> fit -> evaluate (E7 + E6) -> publish to the registry, results stored."""
+    from ticklab.ml import models as ml
+    from ticklab.operators.evaluate import log_loss, metrics
+    from ticklab.operators.ordering import global_positions, positional_split
+
+    params = params or ml.GBTParams()
     cc = quality.complete_cases(lab).drop("rn")
     split = materialize(positional_split(global_positions(cc)), "split")
     train = split.where(F.col("split") == "train")
@@ -127,6 +143,30 @@ def m6_retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def m6_daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of all days, kept by three updates: all but the last two days, then each of them on its own."""
+    from ticklab.operators.daily import read_features, update_features
+
+    ticks = quality.valid_quote(load_ticks(spark, sf_dir))
+    store = job_folder(spark, "daily")
+    last = ticks.agg(F.max(F.to_date("event_time"))).first()[0]
+    day = F.datediff(F.lit(last), F.to_date("event_time"))
+    for batch in (day >= 2, day == 1, day == 0):
+        update_features(store, ticks.where(batch))
+    out = read_features(spark, store).select("tick_id", "symbol", "rn", "price_momentum_5", "volume_zscore", "weight_velocity")
+    return out.withColumns({c: F.round(c, 6) for c in ("price_momentum_5", "volume_zscore", "weight_velocity")})
+
+
+def m6_daily_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 from a daily store of cleaned ticks; returns the metric table."""
+    from ticklab.operators.daily import update_features
+
+    store = job_folder(spark, "daily")
+    update_features(store, quality.zero_density_filter(quality.valid_quote(load_ticks(spark, sf_dir))))
+    _, table = retrain_from_store(spark, store, job_folder(spark, "m6"), RECENT_DAYS, params=job_params(spark))
+    return table
+
+
 def m1_training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: the training matrix: one row per complete tick with its split, labels and feature vector's size
     and sum (the vector as the models see it)."""
@@ -328,6 +368,8 @@ EXTRA_QUERIES = {
     "s6_sql_dump_roundtrip": s6_sql_dump_roundtrip,
     "s2_write_roundtrip": s2_write_roundtrip,
     "m6_retrain_job": m6_retrain_job,
+    "m6_daily_features": m6_daily_features,
+    "m6_daily_retrain": m6_daily_retrain,
     "m4_model_scores": m4_model_scores,
     "flagship_detections_per_symbol": detections_per_symbol,
     "t2_trade_log": t2_trade_log,
