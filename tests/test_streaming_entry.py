@@ -130,6 +130,37 @@ def test_late_tick_gives_batch_values(spark, tmp_path):
         assert all(abs(now[i][c] - batch[i][c]) < 1e-9 for c in FEATURES), i
 
 
+def test_warm_start_equals_batch_from_the_first_tick(spark, tmp_path):
+    """A stream that starts mid-history, with the batch's last 200 ticks a symbol, gives the batch rows."""
+    from ticklab.streaming.live import warm_start
+
+    t = load_ticks(spark, SF001)
+    cut = F.col("event_time") < "2024-01-21"
+    got = _replay(spark, tmp_path, [t.where(~cut)], "warm", initial=warm_start(t.where(cut)))
+    batch = add_features(quality.liquidity_filter(quality.valid_quote(t, require_ask=True)), nulls="zero", layout="symbol").where("rn >= 49").where(~cut)
+    assert got.count() == batch.count() > 100
+    bad = got.alias("g").join(batch.alias("b"), "tick_id").where(" OR ".join(f"abs(g.{c} - b.{c}) > 1e-9" for c in FEATURES) + " OR g.rn != b.rn")
+    assert bad.count() == 0
+    cold = _replay(spark, tmp_path, [t.where(~cut)], "cold")
+    assert cold.count() < got.count()
+
+
+def test_ring_is_cut_and_idle_symbols_expire(spark, tmp_path):
+    """More ticks than the ring's bound, in several batches: the features of the batch; an idle symbol starts anew."""
+    t = _live_ticks(spark, 700)
+    batch = {r.tick_id: r for r in add_features(t, nulls="zero", layout="symbol").where("rn >= 49").collect()}
+    rows = lambda ids, s: make_ticks(spark, [{"symbol": s, "tick_id": i, "event_time": 600 * 700 + 86_400 * 5 * k, "bid_price": 100.0, "ticket_count": 9.0}
+                                             for k, i in enumerate(ids)]).withColumn("ask_price", F.lit(101.0))
+    back = make_ticks(spark, [{"symbol": "S", "tick_id": 9000 + i, "event_time": 10**7 + i, "bid_price": 100.0, "ticket_count": 9.0} for i in range(60)])
+    parts = [t.where("tick_id < 250"), t.where("tick_id >= 250 and tick_id < 500"), t.where("tick_id >= 500"), rows([8000, 8001, 8002], "B"), rows([8100], "B"),
+             back.withColumn("ask_price", F.lit(101.0))]
+    got = {r.tick_id: r for r in _replay(spark, tmp_path, parts, "ring", ttl_days=3).collect()}
+    assert set(batch) | set(range(9049, 9060)) == set(got)
+    for i, b in batch.items():
+        assert all(abs(got[i][c] - b[c]) < 1e-9 for c in FEATURES) and got[i].rn == b.rn, i
+    assert got[9049].rn == 49
+
+
 def test_one_score_positions(spark, tmp_path):
     rows = [("A", i, float(px), det) for i, (px, det) in enumerate([(100, 0.9), (99.9, 0.5), (99.7, 0.29), (100, 0.9), (101.2, 0.9), (100, 0.1)])]
     df = spark.createDataFrame(rows, "symbol string, rn long, mid_price double, det_prob double").select(
