@@ -319,7 +319,8 @@ def r5_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R3 + M7: micro-batches scored by the newest registered model, written per batch id."""
+    """R3 + M7: micro-batches scored by the newest registered model, each published as a whole."""
+    from ticklab.streaming.commits import read_committed
     from ticklab.streaming.live import dedupe_late, score_batches, stream_features, tick_stream
 
     registry = job_folder(spark, "r3")
@@ -329,7 +330,7 @@ def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = stream_features(dedupe_late(tick_stream(spark, src)))
     q = score_batches(feats, registry, f"{root}/scored", f"{root}/_ck_scored")
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/scored")
+    return read_committed(spark, f"{root}/scored")
 
 
 def compare_trained_models(spark: SparkSession, sf_dir: str) -> DataFrame:
