@@ -185,3 +185,31 @@ def test_driver_contract(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q)
     assert len(o) >= 60
+
+
+def test_entry_without_the_training_data_packages(monkeypatch):
+    """The other queries stay when a package of the subpackage, or the subpackage itself, cannot be imported."""
+    import builtins
+    import sys
+
+    import pytest
+
+    import __spark_entry__ as e
+
+    real = builtins.__import__
+    for missing in ("public_tokenizers", "ticklab.llm"):
+        for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("ticklab.llm")]:
+            monkeypatch.delitem(sys.modules, name)
+
+        def blocked(name, *args, missing=missing, **kwargs):
+            if name == missing or name.startswith(missing + "."):
+                raise ModuleNotFoundError(f"No module named '{missing}'", name=missing)
+            return real(name, *args, **kwargs)
+        monkeypatch.setattr(builtins, "__import__", blocked)
+        if missing == "public_tokenizers":
+            with pytest.warns(UserWarning, match="public_tokenizers"):
+                q = e.queries()
+        else:
+            q = e.queries()
+        monkeypatch.setattr(builtins, "__import__", real)
+        assert "t2_trade_log" in q and "pipeline" not in q and "op4_exact_dedup" not in q
