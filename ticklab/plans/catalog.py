@@ -783,6 +783,9 @@ ORACLE["t1_barrier_outcome"] = _with(*LABS, *_t1_ctes("det", "lab", "s0.label_de
 SELECT symbol, entry_pos, exit_pos, entry_price, exit_price, return_pct, ticks_held, exit_reason FROM det"""
 ORACLE["t1_bucketed_outcome"] = ORACLE["t1_barrier_outcome"]
 ORACLE["w5_bucketed_features"] = _with(*FEATS) + "SELECT tick_id, round(price_momentum_5, 6) AS price_momentum_5, round(volume_zscore, 6) AS volume_zscore FROM feat"
+ORACLE["a1_distinct_by_range"] = _with("ticks AS (" + TICK_VIEW_SQL.format(STR="VARCHAR") + ")", "valid AS (SELECT *, CAST(event_time AS DATE) AS d FROM ticks WHERE bid_price > 0)") + """
+SELECT w.d - 6 AS first, w.d AS last, count(DISTINCT v.d) AS n_days, count(*) AS n_rows, count(DISTINCT v.symbol) AS n_distinct
+FROM (SELECT DISTINCT d FROM valid) w JOIN valid v ON v.d BETWEEN w.d - 6 AND w.d GROUP BY w.d"""
 ORACLE["m6_daily_features"] = _with(*FEATS) + """SELECT tick_id, symbol, rn, round(price_momentum_5, 6) AS price_momentum_5,
   round(volume_zscore, 6) AS volume_zscore, round(weight_velocity, 6) AS weight_velocity FROM feat"""
 ORACLE["w8_peak_return"] = _with(*LABS) + """SELECT symbol, s_rn, rn, ret,

@@ -167,6 +167,21 @@ def m6_daily_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def a1_distinct_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct symbols and rows of every week that ends on a day with ticks, from stored day sketches; the last day is
+    stored by an update of its own."""
+    from ticklab.operators.sketches import day_sketches, distinct_in, read_sketches, store_sketches
+
+    ticks = quality.valid_quote(load_ticks(spark, sf_dir))
+    path = job_folder(spark, "sketches")
+    last = F.to_date("event_time") == F.lit(ticks.agg(F.max(F.to_date("event_time"))).first()[0])
+    for part in (~last, last):
+        store_sketches(day_sketches(ticks.where(part)), path)
+    kept = read_sketches(spark, path)
+    weeks = kept.select(F.date_sub("event_date", 6).alias("first"), F.col("event_date").alias("last"))
+    return distinct_in(kept, weeks)
+
+
 def m1_training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: the training matrix: one row per complete tick with its split, labels and feature vector's size
     and sum (the vector as the models see it)."""
@@ -370,6 +385,7 @@ EXTRA_QUERIES = {
     "s2_write_roundtrip": s2_write_roundtrip,
     "m6_retrain_job": m6_retrain_job,
     "m6_daily_features": m6_daily_features,
+    "a1_distinct_by_range": a1_distinct_by_range,
     "m6_daily_retrain": m6_daily_retrain,
     "m4_model_scores": m4_model_scores,
     "flagship_detections_per_symbol": detections_per_symbol,
