@@ -51,3 +51,30 @@ def test_registered_jobs_fit_the_reference_number_of_trees(spark):
         assert job_params(spark) == ml.GBTParams(max_iter=3)
     finally:
         spark.conf.unset(key) if set_before is None else spark.conf.set(key, set_before)
+
+
+def test_loss_curve_ends_at_the_models_log_loss(spark, tmp_path):
+    """One row a task, split and round; the last round equals E6, and an ensemble cut to k trees equals round k."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF01
+    from ticklab.ml import models as ml
+    from ticklab.operators import quality
+    from ticklab.operators.labels import labelled_ticks
+    from ticklab.plans.jobs import fit_job
+    from ticklab.sources.ticks import load_ticks
+
+    lab, _ = labelled_ticks(quality.valid_quote(load_ticks(spark, SF01)), layout="symbol")
+    rounds = 4
+    for kind in ("two_score", "one_score"):
+        root = str(tmp_path / kind)
+        _, table = fit_job(spark, lab, root, kind, ml.GBTParams(max_iter=rounds), curve=True)
+        curve = spark.read.parquet(f"{root}/results/loss_curve").drop("run_id")
+        tasks = 2 if kind == "two_score" else 1
+        assert curve.count() == curve.select("task", "split", "round").distinct().count() == tasks * 3 * rounds
+        last = curve.where(F.col("round") == rounds).join(table.select("task", "split", F.col("log_loss").alias("e6")), ["task", "split"])
+        assert last.count() == tasks * 3 and last.where("abs(log_loss - e6) > 1e-6").count() == 0
+    # fewer rounds with the same seed are the same first trees
+    _, short = fit_job(spark, lab, str(tmp_path / "short"), "one_score", ml.GBTParams(max_iter=2))
+    two = curve.where("round = 2").join(short.select("task", "split", F.col("log_loss").alias("e6")), ["task", "split"])
+    assert two.count() == 3 and two.where("abs(log_loss - e6) > 1e-6").count() == 0

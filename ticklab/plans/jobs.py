@@ -84,8 +84,9 @@ def retrain_from_store(spark: SparkSession, store: str, root: str, recent: int,
     return fit_job(spark, lab, root, kind, params)
 
 
-def fit_job(spark: SparkSession, lab: DataFrame, root: str, kind: str = "two_score", params=None):
-    """Labelled features -> 60/20/20 split -> fit -> evaluate (E7 + E6) -> publish to the registry, results stored."""
+def fit_job(spark: SparkSession, lab: DataFrame, root: str, kind: str = "two_score", params=None, curve: bool = False):
+    """Labelled features -> 60/20/20 split -> fit -> evaluate (E7 + E6) -> publish to the registry, results stored;
+    with ``curve`` also the log loss after every boosting round, as the table ``loss_curve``."""
     from ticklab.ml import models as ml
     from ticklab.operators.evaluate import log_loss, metrics
     from ticklab.operators.ordering import global_positions, positional_split
@@ -104,7 +105,7 @@ def fit_job(spark: SparkSession, lab: DataFrame, root: str, kind: str = "two_sco
         for m in ("accuracy", "precision", "recall", "f1", "auc", "log_loss"):
             flat[f"{r['task']}_{r['split']}_{m}"] = r[m]
     model_id = ml.save(model, spark, root, counts, flat)
-    write_results(root, model_id, predictions=preds, metrics=table)
+    write_results(root, model_id, predictions=preds, metrics=table, **({"loss_curve": ml.loss_curve(model, split)} if curve else {}))
     return model, table
 
 
@@ -143,6 +144,15 @@ def m6_retrain_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table
 
 
+def e6_loss_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training curve of the recent window's models over their training, validation and test rows."""
+    root = job_folder(spark, "curve")
+    t = quality.recent_days(quality.valid_quote(load_ticks(spark, sf_dir)), RECENT_DAYS)
+    lab, _ = labelled_ticks(quality.zero_density_filter(t))
+    fit_job(spark, lab, root, params=job_params(spark), curve=True)
+    return spark.read.parquet(f"{root}/results/loss_curve").select("task", "split", "round", "log_loss")
+
+
 def m6_daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The features of all days, kept by three updates: all but the last two days, then each of them on its own."""
     from ticklab.operators.daily import read_features, update_features
@@ -385,6 +395,7 @@ EXTRA_QUERIES = {
     "s2_write_roundtrip": s2_write_roundtrip,
     "m6_retrain_job": m6_retrain_job,
     "m6_daily_features": m6_daily_features,
+    "e6_loss_curve": e6_loss_curve,
     "a1_distinct_by_range": a1_distinct_by_range,
     "m6_daily_retrain": m6_daily_retrain,
     "m4_model_scores": m4_model_scores,
