@@ -867,6 +867,7 @@ ORACLE["m5_registry_round_trip"] = _with(*LABS) + f"""SELECT (SELECT count(*) FR
 _LIVE_BASE = (TICKS_CTE, """valid AS (SELECT * REPLACE (coalesce(bid_size, 0e0) AS bid_size, coalesce(ask_size, 0e0) AS ask_size)
   FROM ticks WHERE bid_price > 0 AND ask_price > 0 AND ticket_count > 5)""", FEAT_CTE)
 _LIVE_FEATURES = ", ".join(f"coalesce({c}, 0e0) AS {c}" for c in FEATURES)
+ORACLE["r1_polled_ticks"] = _with(*BASE) + "SELECT tick_id, symbol, bid_price, ask_price, ticket_count, event_time FROM ticks WHERE bid_price > 0 AND ask_price > 0"
 ORACLE["r2_stream_features"] = _with(*_LIVE_BASE) + "SELECT symbol, tick_id, event_time, rn, bid_price, ask_price, " + ", ".join(
     f"round(coalesce({c}, 0e0), 6) AS {c}" for c in FEATURES) + " FROM feat WHERE rn >= 49"
 _LIVE_SCORES = _LIVE_BASE + (f"live AS (SELECT * REPLACE ({_LIVE_FEATURES}) FROM feat WHERE rn >= 49)",

@@ -293,6 +293,27 @@ def _run_to_parquet(stream: DataFrame, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}")
 
 
+def r1_polled_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + O6 as a stream: all but the last two days of ticks land, then each of them; after each arrival the query
+    starts again from its checkpoint and polls until nothing is new."""
+    from ticklab.sources.polled import poll_ticks
+
+    ticks = load_ticks(spark, sf_dir)
+    root = job_folder(spark, "polled")
+    last = ticks.agg(F.max(F.to_date("event_time"))).first()[0]
+    day = F.datediff(F.lit(last), F.to_date("event_time"))
+    for arrival in (day >= 2, day == 1, day == 0):
+        ticks.where(arrival).write.mode("append").parquet(f"{root}/in")
+        polls = poll_ticks(spark, f"{root}/in").select("tick_id", "symbol", "bid_price", "ask_price", "ticket_count", "event_time")
+        q = (polls.writeStream.format("parquet").option("path", f"{root}/ticks").option("checkpointLocation", f"{root}/_ck")
+             .trigger(processingTime="0 seconds").start())
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    return spark.read.schema(polls.schema).parquet(f"{root}/ticks")
+
+
 def r2_stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 + R6 + R2: tick files -> watermark/dedupe -> per-symbol buffered features."""
     from ticklab.streaming.live import dedupe_late, stream_features, tick_stream
@@ -387,6 +408,7 @@ EXTRA_QUERIES = {
     "m1_training_matrix": m1_training_matrix,
     "m5_registry_round_trip": m5_registry_round_trip,
     "c1_trained_models": compare_trained_models,
+    "r1_polled_ticks": r1_polled_ticks,
     "r2_stream_features": r2_stream_features,
     "r3_score_stream": r3_score_stream,
     "r4_stream_positions": r4_stream_positions,
