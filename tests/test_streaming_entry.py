@@ -176,6 +176,53 @@ def test_one_score_positions(spark, tmp_path):
     assert got == [(0, 2, "SIGNAL_LOST"), (3, 4, "PROFIT"), (4, 5, "STOP_LOSS")]
 
 
+def _positions(spark, tmp_path, scored, name, initial=None):
+    scored.coalesce(1).write.parquet(str(tmp_path / f"{name}-in"))
+    stream = position_stream(spark.readStream.schema(scored.schema).parquet(str(tmp_path / f"{name}-in")), initial=initial)
+    q = (stream.writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}-ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(str(tmp_path / name))
+
+
+def test_positions_opened_before_the_stream_are_closed_by_it(spark, tmp_path):
+    """R4 warm start: batch trades before the cut and the stream's after it are the batch's trades over all ticks."""
+    from ticklab.streaming.live import open_positions
+
+    t = quality.liquidity_filter(quality.valid_quote(load_ticks(spark, SF001), require_ask=True))
+    scored = _prep(add_features(t, nulls="zero", layout="symbol")).withColumn("model_id", F.lit("m")).cache()
+    # every third symbol ends on a signal, which opens a position on its last tick of the history
+    cut = (F.col("event_time") < "2024-01-16") | ((F.col("rn") <= F.expr("min(CASE WHEN signal AND event_time >= '2024-01-16' THEN rn END) OVER (PARTITION BY symbol)"))
+                                                  & F.col("symbol").rlike("[0369]$"))
+    marked = scored.withColumn("old", F.coalesce(cut, F.lit(False))).cache()
+    old, new = marked.where("old").drop("old"), marked.where("not old").drop("old")
+    start = open_positions(old, model_id="m", layout="symbol").cache()
+    ends = old.groupBy("symbol").agg(F.max_by("signal", "rn").alias("s"), F.max("rn").alias("entry_pos"))
+    assert start.count() > 3 and start.join(ends.where("s"), ["symbol", "entry_pos"]).count() > 0
+
+    def log(ticks):
+        return trade_log(ticks, "signal", LIVE, price="mid_price", det="det_prob", per="per_prob", model_id="m", layout="symbol").where("exit_reason != 'END_OF_DATA'")
+    k = ["symbol", "entry_pos", "exit_pos", "exit_reason", "entry_time", "entry_price", "return_pct"]
+    both = log(old).select(*k).unionByName(_positions(spark, tmp_path, new, "warm", start).select(*k).withColumn("entry_time", F.col("entry_time").cast(dict(scored.dtypes)["event_time"])))
+    rows = lambda df: sorted((r[0], r[1], r[2], r[3], r[4], round(r[5], 9), round(r[6], 9)) for r in df.collect())
+    want = rows(log(scored).select(*k))
+    assert rows(both) == want and want
+    cold = log(old).select(*k).count() + _positions(spark, tmp_path, new, "cold").count()
+    assert cold < len(want)
+
+
+def test_streams_in_a_session_with_the_default_state_store(spark):
+    """The registered streams bring the state store they need, and leave the caller's session as it is."""
+    from ticklab.plans.jobs import r4_stream_positions
+    from ticklab.session import STATE_STORE
+
+    plain = spark.newSession()
+    plain.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    before = dict(plain.conf.getAll)
+    assert r4_stream_positions(plain, SF001).count() > 0
+    assert dict(plain.conf.getAll) == before
+
+
 def test_driver_contract(spark):
     import __spark_entry__ as e
 

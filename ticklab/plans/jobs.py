@@ -13,7 +13,7 @@ from ticklab.operators.labels import labelled_ticks
 from ticklab.operators.outcomes import BACKTEST, LIVE, positioned, trade_log
 from ticklab.operators.evaluate import entry_signal
 from ticklab.operators.scoring import rule_scores
-from ticklab.session import materialize
+from ticklab.session import materialize, stream_session
 from ticklab.sources.ticks import load_ticks
 
 
@@ -285,6 +285,7 @@ def replay_folder(spark: SparkSession, ticks: DataFrame, name: str, n_files: int
 
 
 def _run_to_parquet(stream: DataFrame, root: str, name: str) -> DataFrame:
+    """The rows of a stream that ran until nothing was new, in the stream's session."""
     spark = stream.sparkSession
     q = (stream.writeStream.format("parquet").option("path", f"{root}/{name}")
          .option("checkpointLocation", f"{root}/_ck_{name}").outputMode("append")
@@ -320,7 +321,8 @@ def r2_stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
     root = src.rsplit("/in", 1)[0]
-    out = _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
+    _run_to_parquet(stream_features(dedupe_late(tick_stream(stream_session(spark), src))), root, "features")
+    out = spark.read.parquet(f"{root}/features")
     return out.withColumns({c: F.round(c, 6) for c in FEATURES})
 
 
@@ -331,14 +333,17 @@ def _position_folder(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 
     src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
     root = src.rsplit("/in", 1)[0]
-    done = _run_to_parquet(stream_features(dedupe_late(tick_stream(spark, src))), root, "features")
-    feats = spark.readStream.schema(done.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/features")
+    streams = stream_session(spark)
+    done = _run_to_parquet(stream_features(dedupe_late(tick_stream(streams, src))), root, "features")
+    feats = streams.readStream.schema(done.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/features")
     scored = rule_scores(feats).withColumn("mid_price", mid_price())
     return root, _run_to_parquet(position_stream(scored.withColumn("signal", entry_signal())), root, "trades")
 
 
 def r4_stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _position_folder(spark, sf_dir)[1]
+    from ticklab.streaming.live import TRADE_OUT
+
+    return spark.read.schema(TRADE_OUT).parquet(f"{_position_folder(spark, sf_dir)[0]}/trades")
 
 
 def r5_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +378,7 @@ def r3_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_job(spark, load_ticks(spark, sf_dir), registry, params=job_params(spark))
     src = replay_folder(spark, load_ticks(spark, sf_dir), "replay")
     root = src.rsplit("/in", 1)[0]
-    feats = stream_features(dedupe_late(tick_stream(spark, src)))
+    feats = stream_features(dedupe_late(tick_stream(stream_session(spark), src)))
     q = score_batches(feats, registry, f"{root}/scored", f"{root}/_ck_scored")
     q.awaitTermination()
     return read_committed(spark, f"{root}/scored")

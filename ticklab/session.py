@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ticklab") -> SparkSession:
     """Local session used by tests and the bench. Cluster jobs get their session from the launcher."""
@@ -26,10 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.python.unix.domain.socket.enabled", "true")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config(STATE_STORE, ROCKSDB)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -56,6 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` with the same settings, but RocksDB as the streams' state store, which operators on
+    ``transformWithState`` need and Spark's default is not. The caller's session stays as it is."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set(STATE_STORE, ROCKSDB)
+    return other
+
+
 def materialize(df, tag: str = "table"):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
