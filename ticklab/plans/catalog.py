@@ -868,6 +868,10 @@ _LIVE_BASE = (TICKS_CTE, """valid AS (SELECT * REPLACE (coalesce(bid_size, 0e0)
   FROM ticks WHERE bid_price > 0 AND ask_price > 0 AND ticket_count > 5)""", FEAT_CTE)
 _LIVE_FEATURES = ", ".join(f"coalesce({c}, 0e0) AS {c}" for c in FEATURES)
 ORACLE["r1_polled_ticks"] = _with(*BASE) + "SELECT tick_id, symbol, bid_price, ask_price, ticket_count, event_time FROM ticks WHERE bid_price > 0 AND ask_price > 0"
+ORACLE["r6_stream_counts"] = _with(*BASE) + f"""SELECT n + repeated AS rows_read, kept AS rows_kept, rejected AS rows_rejected, late AS rows_late,
+  repeated AS rows_repeated FROM (SELECT count(*) AS n, count_if(late) AS late, count_if(tick_id % 77 = 0 AND NOT late) AS repeated,
+  count_if(good AND NOT late) AS kept, count_if(NOT good AND NOT late) AS rejected FROM (SELECT tick_id, bid_price > 0 AND {_DENSE} < 10 AS good,
+  date_diff('day', CAST(event_time AS DATE), CAST(max(event_time) OVER () AS DATE)) >= 21 AND tick_id % 50 = 0 AS late FROM ticks) t) c"""
 ORACLE["r2_stream_features"] = _with(*_LIVE_BASE) + "SELECT symbol, tick_id, event_time, rn, bid_price, ask_price, " + ", ".join(
     f"round(coalesce({c}, 0e0), 6) AS {c}" for c in FEATURES) + " FROM feat WHERE rn >= 49"
 _LIVE_SCORES = _LIVE_BASE + (f"live AS (SELECT * REPLACE ({_LIVE_FEATURES}) FROM feat WHERE rn >= 49)",

@@ -326,6 +326,33 @@ def r2_stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in FEATURES})
 
 
+def r6_stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + R6 on a stream of three arrivals: ticks of every 77th id come twice, and every 50th of the first days comes
+    with the last arrival, past the watermark. The counts of all micro-batches, added."""
+    from ticklab.functions.exprs import zero_count
+    from ticklab.schema import ZERO_CHECK_COLUMNS
+    from ticklab.streaming.counts import COUNTS, counted, read_counts, store_counts
+    from ticklab.streaming.live import tick_stream
+
+    ticks = load_ticks(spark, sf_dir)
+    root = job_folder(spark, "counts")
+    newest = ticks.agg(F.max(F.to_date("event_time"))).first()[0]
+    day = F.datediff(F.lit(newest), F.to_date("event_time"))
+    late = (day >= 21) & (F.col("tick_id") % 50 == 0)
+    twice = (F.col("tick_id") % 77 == 0) & ~late
+    feed = ticks.withColumn("_copy", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("_copy")
+    arrival = F.when(late | (day < 10), 2).when(day < 20, 1).otherwise(0)
+    good = (F.col("bid_price") > 0) & (zero_count(ZERO_CHECK_COLUMNS) < 10)
+    for i in range(3):
+        feed.where(arrival == i).write.mode("append").parquet(f"{root}/in")
+        kept = counted(tick_stream(spark, f"{root}/in", 1 << 20), good)
+        q = (kept.writeStream.format("parquet").option("path", f"{root}/ticks").option("checkpointLocation", f"{root}/_ck")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        store_counts(spark, f"{root}/counts", q.recentProgress)
+    return read_counts(spark, f"{root}/counts").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
 def _position_folder(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """R2 -> rule scores -> R4 live position lifecycle, as two chained streaming queries; the second reads
     the features file by file, so positions stay open across micro-batches. (root folder, closed trades)"""
@@ -414,6 +441,7 @@ EXTRA_QUERIES = {
     "m5_registry_round_trip": m5_registry_round_trip,
     "c1_trained_models": compare_trained_models,
     "r1_polled_ticks": r1_polled_ticks,
+    "r6_stream_counts": r6_stream_counts,
     "r2_stream_features": r2_stream_features,
     "r3_score_stream": r3_score_stream,
     "r4_stream_positions": r4_stream_positions,
