@@ -5,7 +5,8 @@
    path prefixes only the lengths that occur in rules - and equi-joined with the rules, so the cost per
    url does not depend on how many rules share a host.
 2. Redirects (``<meta http-equiv=refresh>``, plus an optional table of HTTP redirects) and canonical
-   links (``<link rel=canonical>``) are edges between urls. Connected components of these edges are
+   links (``<link rel=canonical>``) are edges between urls. A target is resolved against its page's url and
+   both ends are compared in one normal form (``normal_url``). Connected components of these edges are
    aliases of one resource.
 3. A url that no rule fits takes its component's decision: allowed if any alias is explicitly allowed
    (explicit allow has precedence), else blocked if any alias is blocked, else allowed. A url's own
@@ -31,6 +32,30 @@ def host_path(url):
     return lower_ascii(host), path
 
 
+def without_dots(path):
+    """``path`` without its ``.`` and ``..`` segments, which never lead above the first ``/``."""
+    parts = F.split(path, "/")
+    up = lambda acc: F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc)
+    kept = F.aggregate(parts, F.array().cast("array<string>"),
+                       lambda acc, s: F.when(s == "..", up(acc)).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.array_join(kept, "/")).otherwise(path)
+
+
+def normal_url(url):
+    """The form in which urls are compared as link ends: scheme and host with A-Z lower-cased, no default port, no
+    fragment, ``/`` for an empty path, no dot segments. A url without ``://`` stays as it is."""
+    scheme = lower_ascii(F.regexp_extract(url, r"^[^:/?#]*", 0))
+    authority = F.regexp_extract(url, r"^[^:/?#]*://([^/?#]*)", 1)
+    host = F.concat(scheme, F.lit("://"), F.regexp_extract(authority, r"^(?:.*@)?", 0), lower_ascii(F.regexp_extract(authority, r"[^@]*$", 0)))
+    host = F.regexp_replace(host, r"^(http://.*):(?:80)?$|^(https://.*):(?:443)?$", "$1$2")
+    rest = F.regexp_extract(url, r"^[^:/?#]*://[^/?#]*([^#]*)", 1)
+    path = F.regexp_extract(rest, r"^[^?]*", 0)
+    query = F.regexp_extract(rest, r"(?s)\?.*$", 0)
+    path = F.when(path == "", F.lit("/")).otherwise(without_dots(path))
+    return F.when(url.rlike(r"^[^:/?#]+://"), F.concat(host, path, query)).otherwise(url)
+
+
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, rule, verdict) of the longest fitting rule for every distinct url of ``urls`` that has one.
 
@@ -64,37 +89,43 @@ def link_edges(pages: DataFrame) -> DataFrame:
     refresh = F.when(F.col("tag").rlike(r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"),
                      F.regexp_extract("tag", r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1))
     links = staged(tag.select("url", F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&")).alias("href")), "links")
-    out = links.where("href <> ''")
+    out = links.where("href <> ''").where(F.col("href").rlike("://") | ~F.col("href").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"))  # mailto: and the like
     scheme = F.substring_index("url", "://", 1)
     authority = F.regexp_extract("url", r"^[^:/?#]*://[^/?#]*", 0)
+    file = F.regexp_extract("url", r"^[^?#]*", 0)
     folder = F.regexp_extract("url", r"^([^:/?#]*://[^?#]*/)[^/?#]*", 1)
-    full = (F.when(F.col("href").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("href"))
-            .when(F.startswith("href", F.lit("//")), F.concat(scheme, F.lit(":"), "href"))
-            .when(F.startswith("href", F.lit("/")), F.concat(authority, "href"))
-            .otherwise(F.concat(F.when(folder.rlike("://[^/]"), folder).otherwise(F.concat(authority, F.lit("/"))), "href")))
+    href = F.col("href")
+    full = (F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href)
+            .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href))
+            .when(F.startswith(href, F.lit("/")), F.concat(authority, href))
+            .when(F.startswith(href, F.lit("#")), F.col("url"))
+            .when(F.startswith(href, F.lit("?")), F.concat(file, href))
+            .otherwise(F.concat(F.when(folder.rlike("://[^/]"), folder).otherwise(F.concat(authority, F.lit("/"))), href)))
     return out.select(F.col("url").alias("a"), full.alias("b"))
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, component), one row per row of ``pages`` (page_id, url, html).
 
-    ``redirects``: optional (a, b) urls. component is the smallest url of the alias group, null for a url
-    without links. Defined cases: a null url or one without ``://`` has empty host and path, fits no rule
-    and is allowed; null html has no links; repeated urls get the same verdict; a link target that was
-    never fetched still counts with its own rule; empty tables give empty results.
+    ``redirects``: optional (a, b) urls. component is the smallest normal url of the alias group, null for a
+    url without links. Defined cases: a null url or one without ``://`` has empty host and path, fits no rule
+    and is allowed; null html has no links; a link to the page itself, or by another scheme such as ``mailto:``,
+    is none; repeated urls get the same verdict; urls of one normal form share their aliases' decision, each
+    its own rule first; a link target that was never fetched still counts with its own rule; empty tables
+    give empty results.
     """
     edges = link_edges(pages.select("url", "html"))
     if redirects is not None:
         edges = edges.unionByName(redirects.select("a", "b"))
-    groups = staged(connected_components(edges), "aliases")
-    nodes = pages.select("url").unionByName(groups.select(F.col("node").alias("url")))
-    ruled = staged(match_rules(nodes, rules), "ruled")
-    votes = (groups.join(ruled, groups["node"] == ruled["url"]).groupBy("component")
+    groups = staged(connected_components(edges.select(normal_url(F.col("a")).alias("a"), normal_url(F.col("b")).alias("b"))), "aliases")
+    # a target that is no page counts by its normal form
+    urls = pages.select("url").unionByName(groups.select(F.col("node").alias("url")))
+    ruled = staged(match_rules(urls, rules).withColumn("node", normal_url(F.col("url"))), "ruled")
+    votes = (groups.join(ruled, "node").groupBy("component")
              .agg(F.min("verdict").alias("group_verdict")))  # 'allow' < 'block': explicit allow first
-    alias = groups.join(votes, "component", "left").select(F.col("node").alias("url"), "component", "group_verdict")
-    decided = (ruled.join(alias, "url", "full")
-               .select("url", "rule", F.coalesce("verdict", "group_verdict").alias("verdict"), "component"))
+    alias = groups.join(votes, "component", "left").select("node", "component", "group_verdict")
     host, path = host_path(F.col("url"))
-    return (pages.select("page_id", "url").join(decided, "url", "left")
+    return (pages.select("page_id", "url").join(ruled.drop("node"), "url", "left").withColumn("node", normal_url(F.col("url")))
+            .join(alias, "node", "left")
             .select("page_id", host.alias("host"), path.alias("path"), "rule",
-                    F.coalesce("verdict", F.lit("allow")).alias("verdict"), "component"))
+                    F.coalesce("verdict", "group_verdict", F.lit("allow")).alias("verdict"), "component"))
