@@ -51,6 +51,15 @@ def test_exact_groups_heavy_hitter_and_empty(spark):
     assert exact_groups(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_exact_groups_hold_no_group_in_a_window(spark):
+    from ticklab.llm.exact_dedup import exact_groups
+
+    out = exact_groups(frame(spark, [(i, f"t{i // 2}") for i in range(50)]), support=0.5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" in plan
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in out.collect()} == {(i, i // 2 * 2, 2, i % 2 == 0) for i in range(50)}
+
+
 def line_reference(rows, min_chars=40, min_docs=5):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     key = lambda x: x.strip(" \t\n\x0b\f\r").translate(low)

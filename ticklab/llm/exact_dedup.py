@@ -7,14 +7,15 @@ SHA-256 stands for it. Frequent digests would send all their rows to one reducer
    names every digest that holds more than ``support`` of the rows, with possible false alarms;
 2. an exact, map-side combined count verifies them; at most 1/support digests can pass;
 3. these winners (a proven bound) are broadcast, and their rows are settled where they are;
-4. all other digests go through one ordinary shuffle.
+4. all other digests are aggregated with a map-side combine and meet their rows in a join: a group streams
+   through its task and is never held there, however close to ``support`` it is.
 
 The text itself is read once and never shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklab.llm.common import staged
@@ -39,9 +40,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .agg(F.count(F.lit(1)).alias("size"), first.alias("first")).where(F.col("size") > max(1, support * n)))
     marked = rows.join(F.broadcast(staged(winners, "winners")), "digest", "left")
     heavy = marked.where("size is not null")
-    same = Window.partitionBy("digest")
-    rest = (marked.where("size is null").select(*rows.columns)
-            .withColumns({"size": F.count(F.lit(1)).over(same), "first": first.over(same)}))
+    rest = marked.where("size is null").select(*rows.columns)
+    groups = rest.groupBy("digest").agg(F.count(F.lit(1)).alias("size"), first.alias("first"))
+    # a merge join at every size: the groups grow with the documents
+    rest = rest.join(groups.hint("merge"), "digest").select(*rows.columns, "size", "first")
     return _columns(heavy.select(*rest.columns).unionByName(rest))
 
 
