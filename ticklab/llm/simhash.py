@@ -30,6 +30,7 @@ from ticklab.llm.components import connected_components
 
 BITS = 64
 TILE = 2048
+TASK_ROWS = 1 << 22  # bucket rows (16 bytes each) of one comparing task
 SHORT = 32  # buckets up to this size are compared by shifting
 LANES = 1 << 13  # lanes compared and abandoned together
 SHINGLES = 1 << 16  # hashes counted at a time, bounds memory on very long texts
@@ -193,8 +194,9 @@ def close_links(fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     full = rows.join(staged(sizes, "simhash-buckets"), "key")
     small = full.where(F.col("n") <= SHORT).select("key", "fp")
-    parts = fps.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    near = (small.repartition(int(parts), "key").sortWithinPartitions("key", "fp")
+    # a task's rows are bounded however many there are; the session's number is the least
+    parts = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
+    near = (small.repartition(parts, "key").sortWithinPartitions("key", "fp")
             .mapInArrow(_small(radius), "a long, b long"))
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     large = full.where(F.col("n") > SHORT).withColumn("tiles", tiles).withColumn("t", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
