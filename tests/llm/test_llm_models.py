@@ -126,6 +126,18 @@ def test_toxicity_edge_cases(spark):
     assert predict(df, None, ["doc_id"]).where(F.size("rejected") > 0).count() == 0
 
 
+def test_toxicity_of_repeated_ids_does_not_depend_on_row_order(spark):
+    from ticklab.llm.toxicity import probabilities, train
+
+    rows = [(i % 40, f"you utter scoundrel {'abc'[i % 3]}" if i % 4 == 0 else f"plain words number {'abcdefg'[i % 7]}") for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, rude int")
+
+    def model(parts, some):
+        return train(spark.createDataFrame(some, "doc_id long, text string").repartition(parts), labels, ["rude"])
+    one, other = model(1, rows), model(7, rows[::-1])
+    assert [probabilities(one, t) for _, t in rows] == [probabilities(other, t) for _, t in rows]
+
+
 def test_any_category_rejects(spark, tmp_path, monkeypatch):
     import corpus_pipeline as cp
     from ticklab.llm import toxicity

@@ -183,7 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     """Chain model; None without labelled documents.
 
     ``labels``: doc_id and one 0/1 column a category, in chain order. A document with several label rows
-    has a category if any row has it; rows with a null id or a null in any category are left out.
+    has a category if any row has it; rows with a null id or a null in any category are left out. Of several
+    texts with one id that of the lowest hash is learned, wherever its row lies.
     """
     bounded_batches(docs.sparkSession)
     known = labels.select("doc_id", *[F.col(c).cast("int").alias(c) for c in categories]).dropna()
@@ -192,9 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     pick = pick.join(sizes, categories).withColumn("weight", F.greatest(F.lit(1.0), F.col("size") / per_kind)).drop("h", "size")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # at most per_kind x 2^categories ids: bounded, so the texts stay where they are
-    sample = texts.join(F.broadcast(staged(pick, "toxicity-sample")), "doc_id").dropDuplicates(["doc_id"])
-    sample = sample.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)))
-    sample = sample.select("doc_id", *categories, "weight", "fold", "text")
+    sample = texts.join(F.broadcast(staged(pick, "toxicity-sample")), "doc_id")
+    sample = sample.groupBy("doc_id", *categories, "weight").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    sample = sample.select("doc_id", *categories, "weight", F.pmod("one.h", F.lit(FOLDS)).alias("fold"), "one.text")
     feats = staged(sample.mapInArrow(_hash_words, f"doc_id long, {', '.join(f'{c} int' for c in categories)}, weight double, fold long, words binary"),
                    "toxicity-features")
     m = feats.groupBy().applyInPandas(_trainer(categories), "vocab binary, weights binary, links array<array<double>>, cuts array<double>").collect()
