@@ -1,4 +1,4 @@
-"""op3 and op7 against plain loops over small tables: features, training, calibration and predictions, number by number."""
+"""op3, op7 and the pipeline against plain loops over small tables: features, training, calibration, predictions, decisions."""
 
 import math
 import random
@@ -7,9 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 import regex
 import xxhash
+from test_llm_dedup import line_reference, simhash_reference
 
 
 def text_hash(t):
@@ -47,9 +49,13 @@ def unit(counts, idf):
     return {b: x / size for b, x in v.items()}
 
 
-def language_reference(rows):
+def contract_fold(i):
+    return zlib.crc32(str(i).encode()) % 4 == 2
+
+
+def language_reference(rows, fold=contract_fold):
     """{doc_id: (held_out, language, score)} for (doc_id, text, lang) rows."""
-    held_out = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, *_ in rows}
+    held_out = {i: fold(i) for i, *_ in rows}
     taught = [(t, lang) for i, t, lang in rows if not held_out[i] and t is not None and lang is not None]
     grams = [g for t, _ in taught if (g := ngrams(t)) is not None]
     df = Counter(b for g in grams for b in g)
@@ -243,3 +249,56 @@ def test_plain_words_are_the_operators_words():
     for text in ("Plain, plain words", "scoundrels über Straße x", "", "12 -- !", "a" * 9 + " b"):
         assert {int(h) for h in words(text)} == {order_of(s) for s in signs(text)}
         assert len(re.findall(r"\w+", text)) >= len({s for s in signs(text) if s[1] == 0})
+
+
+# ------------------------------------------------------------------ pipeline
+def test_pipeline_matches_the_plain_stages(spark, tmp_path):
+    """The stages' plain versions one after the other give the same documents, and their tokenizer ids the same pieces."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as cp
+
+    r = random.Random(3)
+    stock = {"en": "the cat and dog with this that from have word".split(), "de": "der hund und die katze nicht mit über straße wort".split()}
+    shared = "This passage stands in many documents and is far longer than forty characters"
+    rows, labels = [], []
+    for i in range(120):
+        lang = "en" if i % 3 else "de"
+        text = " ".join(r.choice(stock[lang]) for _ in range(r.randint(15, 60)))
+        if i % 5 == 0:
+            text = f"scoundrel {text} villainous wretch"
+        if i % 4 == 1:
+            text = f"{text}\n  {shared} \n{text[::-1]}"
+        rows.append((i, text, lang))
+        if i % 2 == 0 or i % 5 == 0:
+            labels.append((i, int(i % 5 == 0), int(i % 10 == 0)))
+    rows += [(200 + k, rows[i][1], rows[i][2]) for k, i in enumerate([1, 1, 2, 5, 7])]  # exact copies
+    rows += [(300, None, "en"), (301, "", "de"), (302, "12 -- !", "en"), (303, f"{shared}\n{shared.upper()}", "en"), (304, " ".join(stock["de"]) + " word", None)]
+    spark.createDataFrame([(*row, "s", None if row[1] is None else len(row[1])) for row in rows],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    toxic = toxicity_reference([row[:2] for row in rows], labels)
+    left = [row for row in rows if not toxic[row[0]][1]]
+    known = language_reference(left, lambda i: False)
+    spoken = [row for row in left if known[row[0]][1] != "und" and known[row[0]][2] >= 0.5]
+    trimmed = [(i, t) for i, t, *_ in line_reference([row[:2] for row in spoken])]
+    group = {i: least for i, _, least in simhash_reference(trimmed)}
+    kept = {i: t for i, t in trimmed if group[i] == i}
+    assert len(rows) > len(left) > len(spoken) > len(kept) > 60 and {t for i, t in trimmed} != {row[1] for row in spoken}
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {i: np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4") for i, t in kept.items()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for p in cp.run(spark, str(tmp_path)).collect():
+        x = ids[p.doc_id]
+        assert p.doc_tokens == len(x) and zlib.crc32(x[p.start:p.start + p.length].tobytes()) == p.ids_crc32
+        pieces[p.doc_id].append((p.start, p.length))
+        sequences[p.sequence_id].append((p.offset, p.length))
+    assert pieces.keys() == ids.keys()
+    for parts, end in [(pieces[i], len(x)) for i, x in ids.items()] + [(s, None) for s in sequences.values()]:
+        at = 0
+        for start, n in sorted(parts):
+            assert start == at and n > 0
+            at += n
+        assert at == end if end else at <= 2048
